@@ -6,7 +6,7 @@ import importlib
 
 from clickweave.catalog.registry import REGISTRY, Query
 
-MODULES = ("scans", "clicks", "windows", "times")
+MODULES = ("scans", "clicks", "windows", "times", "sampling", "vectors")
 
 
 def load() -> dict[str, Query]:

@@ -77,14 +77,14 @@ def with_position(df: DataFrame, key: str, order: Sequence[str],
 
 
 def with_history(df: DataFrame, key: str, order: Sequence[str], value: str, length: int,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Adds ``pos``, ``is_last`` and ``hist``: the ``length`` values before the row, newest first.
 
     Ordinary keys need one shuffle for all three. A hot key is cut into blocks
     of ``hot_rows`` consecutive rows; each block also receives the last
     ``length`` rows of the block before it, so every window sees what it needs.
     """
-    light, heavy = split_hot(df, [key], hot_rows)
+    light, heavy = split_hot(df, [key], hot_rows, sizes)
     w = Window.partitionBy(key).orderBy(*order)
     before = F.reverse(F.collect_list(value).over(w.rowsBetween(-length, -1)))
     out = (light.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))

@@ -8,15 +8,26 @@ from clickweave.functions.arrays import pad_post
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators.ordering import sort_rows, with_history
 from clickweave.operators.skew import HOT_ROWS, key_sizes, skew_join, with_row_index
+from clickweave.session import materialize
 
 SEQUENCE_LENGTH = 64
 
 
+def supported(df: DataFrame, key: str, at_least: int,
+              hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key occurs often enough, and the written table (key, n) of all keys.
+
+    The counts are written once: they tell the hot keys and, with a known size
+    on disk, let Spark broadcast the key list where it is small.
+    """
+    sizes = materialize(key_sizes(df, [key]), "sizes")
+    keys = sizes.where(F.col("n") >= at_least).select(key)
+    return skew_join(df, keys, [key], "left_semi", hot_rows, sizes), sizes
+
+
 def min_support(df: DataFrame, key: str, at_least: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose key occurs at least ``at_least`` times."""
-    sizes = key_sizes(df, [key])
-    keys = sizes.where(F.col("n") >= at_least).select(key)
-    return skew_join(df, keys, [key], "left_semi", hot_rows, sizes)
+    return supported(df, key, at_least, hot_rows)[0]
 
 
 def support_filter(clicks: DataFrame, inum: int = 3, unum: int = 6, item: str = "id",
@@ -37,10 +48,10 @@ def dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataFr
     return indexed.select(col, (F.col("_idx") + 1).alias("code"))
 
 
-def encode(df: DataFrame, col: str, codes: DataFrame, out: str,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def encode(df: DataFrame, col: str, codes: DataFrame, out: str, hot_rows: int = HOT_ROWS,
+           sizes: DataFrame | None = None) -> DataFrame:
     """Adds the code of ``col`` as ``out``."""
-    return skew_join(df, codes.withColumnRenamed("code", out), [col], "inner", hot_rows)
+    return skew_join(df, codes.withColumnRenamed("code", out), [col], "inner", hot_rows, sizes)
 
 
 def vocabulary_size(codes: DataFrame) -> DataFrame:
@@ -50,14 +61,14 @@ def vocabulary_size(codes: DataFrame) -> DataFrame:
 
 def prefix_samples(clicks: DataFrame, length: int = SEQUENCE_LENGTH, user: str = "user_id",
                    item: str = "item_id", time: str = "ctime",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """One sample per click after a user's first.
 
     Columns: user, target item, label, hist (newest first, at most ``length``),
     hist_len (uncapped), pos, is_test (the user's last click).
     """
     placed = with_history(clicks.select(user, item, time), user, [time, item], item, length,
-                          hot_rows)
+                          hot_rows, sizes)
     return (placed.where(F.col("pos") >= 1)
             .select(user, item, F.lit(1).alias("label"), "hist",
                     F.col("pos").alias("hist_len"), "pos", F.col("is_last").alias("is_test")))

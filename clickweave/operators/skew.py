@@ -22,23 +22,32 @@ def key_sizes(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_keys(sizes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys, ready to be broadcast, or None when there is none."""
+    hot = sizes.where(F.col("n") > hot_rows).select(*keys)
+    if hot.isEmpty():
+        return None
+    return F.broadcast(materialize(hot, "hot"))
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
               hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Equi-join of a table with hot keys to a table that is unique per key.
 
-    Rows of hot keys meet the few matching rows of ``right`` by broadcast and are
-    never shuffled, so even identical rows stay where they were read. All other
-    keys take an ordinary join, for which Spark picks the strategy from sizes.
-    With no hot key the adaptive planner drops the second branch after the
-    (empty) hot table is known.
+    Hot keys are looked for first. Without any, this is the plain join, for
+    which Spark picks the strategy from the sizes. Otherwise rows of hot keys
+    meet the few matching rows of ``right`` by broadcast and are never
+    shuffled, so even identical rows stay where they were read.
 
-    ``sizes`` is the table (keys, n) when the caller has it already.
+    ``sizes`` is a table (keys, n) with n at least the rows per key, when the
+    caller has one already.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    sizes = key_sizes(left, keys) if sizes is None else sizes
-    hot = F.broadcast(sizes.where(F.col("n") > hot_rows).select(*keys))
+    hot = hot_keys(key_sizes(left, keys) if sizes is None else sizes, keys, hot_rows)
+    if hot is None:
+        return left.join(right, keys, how)
     light = left.join(hot, keys, "left_anti").join(right, keys, how)
     few = F.broadcast(right.join(hot, keys, "left_semi"))
     heavy = left.join(hot, keys, "left_semi").join(few, keys, how)
@@ -95,9 +104,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
               sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys or None when there is none)."""
     keys = list(keys)
-    sizes = key_sizes(df, keys) if sizes is None else sizes
-    hot = materialize(sizes.where(F.col("n") > hot_rows).select(*keys), "hot")
-    if hot.isEmpty():
+    hot = hot_keys(key_sizes(df, keys) if sizes is None else sizes, keys, hot_rows)
+    if hot is None:
         return df, None
-    hot = F.broadcast(hot)
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")

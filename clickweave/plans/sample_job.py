@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickweave.operators.ordering import first_rows
 from clickweave.operators.samples import (
-    SEQUENCE_LENGTH, dictionary, encode, model_input, prefix_samples, support_filter,
+    SEQUENCE_LENGTH, dictionary, encode, model_input, prefix_samples, supported,
 )
 from clickweave.operators.skew import HOT_ROWS
 from clickweave.session import materialize
@@ -35,11 +35,14 @@ def prepare(clicks: DataFrame, inum: int = 3, unum: int = 6, length: int = SEQUE
     source = clicks.select("uid", "id", "ctime")
     if max_rows is not None:
         source = first_rows(source, ["ctime", "id", "uid"], max_rows)
-    kept = materialize(support_filter(source, inum, unum, hot_rows=hot_rows), "kept")
+    by_item, item_sizes = supported(source, "id", inum, hot_rows)
+    by_user, user_sizes = supported(by_item, "uid", unum, hot_rows)
+    kept = materialize(by_user, "kept")
     users = dictionary(kept, "uid")
     items = dictionary(kept, "id")
-    coded = encode(encode(kept, "uid", users, "user_id", hot_rows),
-                   "id", items.select("id", F.col("code").cast("int").alias("code")),
-                   "item_id", hot_rows)
-    samples = prefix_samples(coded, length, hot_rows=hot_rows)
+    coded = encode(kept, "uid", users, "user_id", hot_rows, user_sizes)
+    short = items.select("id", F.col("code").cast("int").alias("code"))
+    coded = encode(coded, "id", short, "item_id", hot_rows, item_sizes)
+    coded_sizes = user_sizes.join(users, "uid").select(F.col("code").alias("user_id"), "n")
+    samples = prefix_samples(coded, length, hot_rows=hot_rows, sizes=coded_sizes)
     return Prepared(kept, users, items, samples, model_input(samples, length))
