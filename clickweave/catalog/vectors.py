@@ -308,15 +308,20 @@ def r09(spark, sf):
 
 @query("r10_recall", sql("""
   SELECT t.user_id, round(count(m.item_id) / CAST(count(*) AS DOUBLE), 6) + 0.0 AS recall
-  FROM (SELECT u.vec_id // 4 AS user_id, i.vec_id AS true_item
-        FROM vecs u JOIN vecs i ON i.label = u.label WHERE u.vec_id % 4 = 0) t
+  FROM (SELECT query_id // 4 AS user_id, item_id AS true_item FROM (
+          SELECT p.query_id, p.item_id,
+            row_number() OVER (PARTITION BY p.query_id ORDER BY p.distance, p.item_id) AS r
+          FROM pair_dist p JOIN vecs q ON q.vec_id = p.query_id
+            JOIN vecs i ON i.vec_id = p.item_id AND i.label = q.label
+          WHERE p.query_id % 4 = 0) s WHERE r <= 20) t
   LEFT JOIN (SELECT * FROM merged_ranked WHERE rank <= 50) m
     ON m.user_id = t.user_id AND m.item_id = t.true_item
-  GROUP BY t.user_id""", "merged_ranked"))
+  GROUP BY t.user_id""", "merged_ranked", "pair_dist"))
 def r10(spark, sf):
+    """True items: the 20 nearest with the label of a user's first vector."""
     first = fx.queries(spark, sf).where(F.col("query_id") % fx.PER_USER == 0)
-    true = (first.select(F.floor(F.col("query_id") / fx.PER_USER).alias("user_id"), "label")
-            .join(fx.items(spark, sf).select("label", F.col("item_id").alias("true_item")), "label")
-            .drop("label"))
+    near = rt.exact_search(fx.items(spark, sf), first, 20, cell="label")
+    true = near.select(F.floor(F.col("query_id") / fx.PER_USER).alias("user_id"),
+                       F.col("item_id").alias("true_item"))
     ranked = rt.multi_vector_search(_user_hits(spark, sf, K), 50)
     return ev.recall_at(ranked, true, 50).withColumn("recall", rounded(F.col("recall")))
