@@ -10,6 +10,7 @@ from clickweave.operators import aggregates as ag, filters as fl
 from clickweave.operators.dedup import distinct_values, latest_per_key, union_all
 from clickweave.operators.ordering import first_rows, history_lists, shuffled, sort_rows
 from clickweave.plans.window_job import cutoff_epoch
+from clickweave.sources.clicklog import exact_partitions
 
 COLS = ["event_id", "uid", "id", "ctime"]
 NOT_NULL = "uid IS NOT NULL AND id IS NOT NULL AND ctime IS NOT NULL"
@@ -184,7 +185,7 @@ def a09(spark, sf):
 
 @query("a10_partition_profile")
 def a10(spark, sf):
-    return ag.partition_profile(fx.clicks_a(spark, sf), "event_id")
+    return ag.partition_profile(exact_partitions(fx.clicks_a(spark, sf), 8), "event_id")
 
 
 @query("a11_funnel", sql(f"""
