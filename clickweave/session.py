@@ -22,7 +22,8 @@ _SHIPPED: set[str] = set()
 
 def build_session(app: str = "clickweave", master: str | None = None,
                   shuffle_partitions: int | None = None,
-                  driver_memory: str | None = None) -> SparkSession:
+                  driver_memory: str | None = None,
+                  settings: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the operators are written for."""
     builder = (
         SparkSession.builder.appName(app)
@@ -39,6 +40,8 @@ def build_session(app: str = "clickweave", master: str | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
