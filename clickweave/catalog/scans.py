@@ -29,7 +29,7 @@ def s01(spark, sf):
 @query("s02_tsv_scan", sql(f"SELECT uid, id, ctime FROM clicks_a WHERE {NOT_NULL}", "clicks_a"))
 def s02(spark, sf):
     path = scratch_path(spark, "tsv")
-    clicklog.write_snapshot(_usable(spark, sf), path, files=None)
+    clicklog.write_snapshot(_usable(spark, sf), path)
     return clicklog.read_snapshot(spark, path, NUMBERS)
 
 
@@ -49,7 +49,7 @@ def s03(spark, sf):
   FROM clicks_a WHERE {NOT_NULL}""", "clicks_a"))
 def s04(spark, sf):
     path = scratch_path(spark, "sink")
-    clicklog.write_snapshot(_usable(spark, sf), path)
+    clicklog.write_snapshot(_usable(spark, sf), path, files=10)
     back = clicklog.read_snapshot(spark, path, NUMBERS)
     return back.withColumn("f", F.input_file_name()).agg(
         F.countDistinct("f").alias("n_files"), F.count(F.lit(1)).alias("n_rows"),
@@ -64,7 +64,7 @@ def s04(spark, sf):
 def s05(spark, sf):
     lists = history_lists(_usable(spark, sf), "uid", ["ctime", "id"], ["id", "ctime"])
     path = scratch_path(spark, "lists")
-    clicklog.write_histories(lists, path)
+    clicklog.write_histories(lists, path, files=10)
     back = clicklog.read_histories(spark, path, lists.schema)
     entry = F.transform("history", lambda e: F.concat_ws(":", e["id"], e["ctime"]))
     return back.select("uid", "part", F.array_join(entry, ",").alias("history"))

@@ -8,20 +8,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators.skew import (
-    HOT_ROWS, number_copies, split_hot, with_row_index,
+    HOT_ROWS, hot_keys, key_sizes, number_copies, split_hot, with_row_index,
 )
 
 TOP_K_BOUND = 10_000
 LIST_ROWS = 1_000_000
 
 
-def sort_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def sort_rows(df: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Global ascending sort; the remaining columns break ties.
 
-    Identical rows are counted before they travel and numbered afterwards, so
-    the range partitions stay equal even when one row fills the table.
+    While no value of the first sort column has very many rows, no row can have
+    very many copies and range partitioning is balanced. That is checked by a
+    count per value. Otherwise identical rows are counted before they travel
+    and numbered, so that the partitions stay equal even when one row fills the
+    table.
     """
     rest = [c for c in df.columns if c not in order]
+    first = [order[0]]
+    if hot_keys(key_sizes(df, first), first, hot_rows) is None:
+        return df.orderBy(*order, *rest)
     numbered = number_copies(df, "_copy")
     return numbered.orderBy(*order, *rest, "_copy").drop("_copy")
 

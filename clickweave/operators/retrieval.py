@@ -20,7 +20,7 @@ from clickweave.operators.blockscore import (
 )
 from clickweave.operators.ordering import first_in_group, top_k
 from clickweave.operators.skew import skew_join
-from clickweave.session import ship_package
+from clickweave.session import materialize, ship_package
 
 ITEM_BLOCK = 16_384
 QUERY_BLOCK = 4_096
@@ -47,7 +47,8 @@ def _search(items: DataFrame, queries: DataFrame, keys: Sequence[str], k: int, p
     ship_package(items.sparkSession)
     keys = list(keys)
     items = _with_cell(items, cell).select("item_id", F.col(payload).alias("_payload"), "_cell")
-    queries = _with_cell(queries, cell).select(*keys, "vec", "_cell")
+    # Read several times below, and often the end of a long job: written once.
+    queries = materialize(_with_cell(queries, cell).select(*keys, "vec", "_cell"), "queries")
     out = T.StructType([*[f for f in queries.schema if f.name in keys],
                         items.schema["item_id"], T.StructField("distance", T.DoubleType())])
     width = F.size("vec")

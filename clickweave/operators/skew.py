@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickweave.session import materialize
 
 HOT_ROWS = 5_000_000
 COPY_CHUNK = 100_000
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -22,6 +25,33 @@ def key_sizes(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def _value_bytes(field: T.StructField) -> Column:
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(col)
+    elif isinstance(field.dataType, T.ArrayType):
+        if isinstance(field.dataType.elementType, (T.StringType, T.ArrayType, T.StructType)):
+            size = F.octet_length(F.to_json(col))
+        else:
+            size = F.size(col) * 8
+    elif isinstance(field.dataType, (T.StructType, T.MapType)):
+        size = F.octet_length(F.to_json(col))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(0)).cast("bigint") + 8
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS,
+                   size: int = BROADCAST_BYTES) -> bool:
+    """Counts the rows, and measures their bytes if there are few."""
+    if df.count() > rows:
+        return False
+    width = F.lit(0).cast("bigint")
+    for field in df.schema:
+        width = width + _value_bytes(field)
+    return (df.agg(F.sum(width).alias("b")).first()["b"] or 0) <= size
+
+
 def hot_keys(sizes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The hot keys, ready to be broadcast, or None when there is none."""
     hot = sizes.where(F.col("n") > hot_rows).select(*keys)
@@ -31,13 +61,15 @@ def hot_keys(sizes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+              hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None,
+              small_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Equi-join of a table with hot keys to a table that is unique per key.
 
-    Hot keys are looked for first. Without any, this is the plain join, for
-    which Spark picks the strategy from the sizes. Otherwise rows of hot keys
-    meet the few matching rows of ``right`` by broadcast and are never
-    shuffled, so even identical rows stay where they were read.
+    A ``right`` that was measured to be small is broadcast: then ``left`` is
+    not shuffled and its hot keys do not matter. Beyond that size hot keys are
+    looked for. Without any, this is the plain join. Otherwise rows of hot keys
+    meet the few matching rows of ``right`` by broadcast, so even identical rows
+    stay where they were read, and only the others are shuffled.
 
     ``sizes`` is a table (keys, n) with n at least the rows per key, when the
     caller has one already.
@@ -45,6 +77,8 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
+    if fits_broadcast(right, small_rows):
+        return left.join(F.broadcast(right), keys, how)
     hot = hot_keys(key_sizes(left, keys) if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         return left.join(right, keys, how)
@@ -93,7 +127,8 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     for row in sorted(counts, key=lambda r: r["s"]):
         offsets.append((row["s"], total))
         total += row["n"]
-    table = spark.createDataFrame(offsets, "_slice bigint, _offset bigint")
+    frame = pd.DataFrame(offsets, columns=["_slice", "_offset"], dtype="int64")
+    table = spark.createDataFrame(frame, "_slice bigint, _offset bigint")
     in_slice = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (stored.withColumn("_slice", slice_no)
             .join(F.broadcast(table), "_slice")

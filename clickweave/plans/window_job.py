@@ -51,7 +51,7 @@ def backfill(start: DataFrame, clicks: DataFrame, last_day: str, last_hour: str,
 
 def run_hour(spark: SparkSession, base: str, previous: tuple[str, str] | None,
              new_hour: DataFrame, day: str, hour: str, hours: int = WINDOW_HOURS,
-             zone: str = "UTC", files: int | None = 10, mode: str = "errorifexists") -> DataFrame:
+             zone: str = "UTC", files: int | None = None, mode: str = "errorifexists") -> DataFrame:
     """Write the snapshot of one hour and return it as read back from the output."""
     if previous is None:
         old = new_hour.select("uid", "id", "ctime").limit(0)

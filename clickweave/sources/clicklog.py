@@ -36,7 +36,7 @@ def read_click_table(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
-def write_snapshot(clicks: DataFrame, path: str, files: int | None = 10,
+def write_snapshot(clicks: DataFrame, path: str, files: int | None = None,
                    mode: str = "errorifexists") -> None:
     """Tab-separated text with a header. ``files=None`` leaves the count to Spark."""
     spread = clicks if files is None else clicks.repartition(files)
@@ -56,7 +56,7 @@ def read_snapshot(spark: SparkSession, path: str | Sequence[str],
     return rows.where(not_null())
 
 
-def write_histories(lists: DataFrame, path: str, files: int | None = 10) -> None:
+def write_histories(lists: DataFrame, path: str, files: int | None = None) -> None:
     """One JSON line per history row."""
     lines = lists.select(F.to_json(F.struct(*lists.columns)).alias("value"))
     (lines if files is None else lines.repartition(files)).write.text(path)

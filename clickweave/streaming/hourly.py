@@ -26,7 +26,7 @@ def latest_complete(spark: SparkSession, base: str) -> tuple[str, str] | None:
 
 
 def snapshot_step(spark: SparkSession, base: str, clicks: Callable[[], DataFrame],
-                  hours: int = WINDOW_HOURS, zone: str = "UTC", files: int | None = 10,
+                  hours: int = WINDOW_HOURS, zone: str = "UTC", files: int | None = None,
                   max_keep: int = KEEP_DAYS) -> Callable[[DataFrame, int], None]:
     """What a micro-batch of ready hours does to the snapshot tree.
 

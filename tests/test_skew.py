@@ -74,8 +74,16 @@ def test_skew_join_equals_plain_join(spark, table, how, hot_rows):
                                   "uid bigint, name string")
     if how in ("left_semi", "left_anti"):
         right = right.select("uid")
-    got = skew.skew_join(table, right, ["uid"], how, hot_rows)
-    assert rows(got) == rows(table.join(right, ["uid"], how))
+    want = rows(table.join(right, ["uid"], how))
+    assert rows(skew.skew_join(table, right, ["uid"], how, hot_rows, small_rows=0)) == want
+    assert rows(skew.skew_join(table, right, ["uid"], how, hot_rows)) == want
+
+
+def test_only_measured_small_tables_are_broadcast(spark, table):
+    wide = spark.createDataFrame([(1, "x" * 2000, [[1.0]], {"a": 1})],
+                                 "k int, s string, v array<array<double>>, m map<string,int>")
+    assert skew.fits_broadcast(wide) and not skew.fits_broadcast(wide, size=1000)
+    assert not skew.fits_broadcast(table, rows=599) and skew.fits_broadcast(table, rows=600)
 
 
 def test_copies_are_numbered(table, clicks):
@@ -93,8 +101,9 @@ def test_row_index_is_the_place_in_the_order(spark, table, clicks, partitions):
     assert [r[0] for r in got.select("place").orderBy("place").collect()] == list(range(len(clicks)))
 
 
-def test_global_sort_keeps_every_copy(table, clicks):
-    got = [tuple(r) for r in od.sort_rows(table, ["ctime", "id"]).collect()]
+@pytest.mark.parametrize("hot_rows", [50, 10_000])
+def test_global_sort_keeps_every_copy(table, clicks, hot_rows):
+    got = [tuple(r) for r in od.sort_rows(table, ["ctime", "id"], hot_rows).collect()]
     assert got == sorted(clicks, key=lambda c: (c[2], c[1], c[0]))
 
 
