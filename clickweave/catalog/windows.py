@@ -10,9 +10,7 @@ from clickweave.operators.dedup import latest_per_key
 from clickweave.operators.filters import hour_range
 from clickweave.plans.window_job import backfill, merge_window
 from clickweave.session import scratch_path
-from clickweave.sources.clicklog import (
-    click_table_schema, read_click_table, read_snapshot, write_click_table,
-)
+from clickweave.sources.clicklog import read_click_table, read_snapshot, write_clustered_clicks
 from clickweave.streaming.hourly import announce_hours, continuous_dedup, latest_complete, run_hourly
 
 RUN = ("20240116", "09")
@@ -64,13 +62,12 @@ def st2(spark, sf):
     rows = fx.good_clicks(spark, sf).select(*COLS, "pdate", "phour")
     source, base = scratch_path(spark, "clicks"), scratch_path(spark, "snapshots")
     markers, checkpoint = scratch_path(spark, "markers"), scratch_path(spark, "loop")
-    write_click_table(rows, source)
-    schema = click_table_schema(rows)
+    write_clustered_clicks(rows, source)
     hours = fx.clicks_a(spark, sf).select("pdate", "phour").distinct()
     for first, last in (("2024010100", "2024011011"), ("2024011012", "2024012023"),
                         ("2024012100", "2024013123")):
         announce_hours(hours.where(hour_range(first, last)), markers)
-        run_hourly(spark, markers, base, lambda: read_click_table(spark, source, schema),
+        run_hourly(spark, markers, base, lambda: read_click_table(spark, source, rows.schema),
                    checkpoint).awaitTermination()
     day, hour = latest_complete(spark, base)
     return read_snapshot(spark, f"{base}/{day}/{hour}", "uid bigint, id bigint, ctime bigint")

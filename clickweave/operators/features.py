@@ -233,7 +233,8 @@ def sequence_lookup(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
     flat = rows.select(*cols, F.posexplode(feature.name).alias("pos", "_id"))
     if feature.length_name:
         flat = flat.where(F.col("pos") < F.col(feature.length_name))
-    flat = flat.where(F.col("_id").cast("string") != "0")
+    is_text = isinstance(flat.schema["_id"].dataType, T.StringType)
+    flat = flat.where(F.col("_id") != (F.lit("0") if is_text else F.lit(0)))
     index = F.col("_id")
     if feature.sparse.use_hash:
         index = bucket(index, feature.sparse.vocabulary_size, mask_zero=True)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from clickweave.functions.arrays import add, dot, log2_floor_1p, scale
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators.skew import HOT_ROWS, skew_join
-from clickweave.session import materialize, ship_package
+from clickweave.session import ensure_checkpoint_dir, materialize, ship_package
 
 MASKED = -2.0 ** 32 + 1
 SQUASH_EPS = 1e-8
@@ -191,8 +191,9 @@ def learn_vectors(interactions: DataFrame, rank: int = 16, iterations: int = 5,
     counts = (interactions.groupBy(user, item).agg(F.count(F.lit(1)).cast("float").alias("clicks"))
               .select(F.col(user).cast("int").alias(user), F.col(item).cast("int").alias(item),
                       "clicks"))
+    ensure_checkpoint_dir(interactions.sparkSession)
     als = ALS(userCol=user, itemCol=item, ratingCol="clicks", implicitPrefs=True, rank=rank,
-              maxIter=iterations, seed=seed, coldStartStrategy="drop", checkpointInterval=-1)
+              maxIter=iterations, seed=seed, coldStartStrategy="drop", checkpointInterval=2)
     return als.fit(counts)
 
 

@@ -37,8 +37,13 @@ def support_filter(clicks: DataFrame, inum: int = 3, unum: int = 6, item: str =
 
 
 def preprocess(clicks: DataFrame, inum: int = 3, unum: int = 6) -> DataFrame:
-    """Support filter, then the time order."""
-    return sort_rows(support_filter(clicks, inum, unum), ["ctime", "id"])
+    """Support filter, then the time order.
+
+    A sort reads its input more than once (hot keys, range bounds, rows), so
+    the filtered clicks are written in between.
+    """
+    kept = materialize(support_filter(clicks, inum, unum), "kept")
+    return sort_rows(kept, ["ctime", "id"])
 
 
 def dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:

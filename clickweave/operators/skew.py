@@ -25,31 +25,35 @@ def key_sizes(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def _value_bytes(field: T.StructField) -> Column:
+def _value_bytes(field: T.StructField) -> Column | None:
+    """Bytes of a value of varying length, None for a fixed one."""
     col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+    kind = field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
         size = F.octet_length(col)
-    elif isinstance(field.dataType, T.ArrayType):
-        if isinstance(field.dataType.elementType, (T.StringType, T.ArrayType, T.StructType)):
-            size = F.octet_length(F.to_json(col))
-        else:
-            size = F.size(col) * 8
-    elif isinstance(field.dataType, (T.StructType, T.MapType)):
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = F.size(col) * 8
+    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
         size = F.octet_length(F.to_json(col))
     else:
-        size = F.lit(8)
-    return F.coalesce(size, F.lit(0)).cast("bigint") + 8
+        return None
+    return F.coalesce(size, F.lit(0)).cast("bigint")
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS,
                    size: int = BROADCAST_BYTES) -> bool:
-    """Counts the rows, and measures their bytes if there are few."""
-    if df.count() > rows:
+    """Counts the rows and, if there are few of varying length, measures their bytes."""
+    n = df.count()
+    fixed = n * 16 * len(df.columns)
+    if n > rows or fixed > size:
         return False
-    width = F.lit(0).cast("bigint")
-    for field in df.schema:
-        width = width + _value_bytes(field)
-    return (df.agg(F.sum(width).alias("b")).first()["b"] or 0) <= size
+    varying = [b for b in map(_value_bytes, df.schema) if b is not None]
+    if not varying:
+        return True
+    total = varying[0]
+    for b in varying[1:]:
+        total = total + b
+    return fixed + (df.agg(F.sum(total).alias("b")).first()["b"] or 0) <= size
 
 
 def hot_keys(sizes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:

@@ -73,6 +73,18 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """RDD checkpoints of library algorithms go to the same shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "rdd"))
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; none may be in use any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application."""
     sc = spark.sparkContext
