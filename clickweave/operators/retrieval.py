@@ -56,7 +56,7 @@ def _search(items: DataFrame, queries: DataFrame, keys: Sequence[str], k: int, p
     if size <= small_values:
         found = _search_small(items, queries, keys, k, score, out, item_block)
     else:
-        found = _search_blocks(items, queries, keys, k, score, out, item_block, query_block)
+        found = _search_blocks(items, queries, keys, k, score, out, cell, item_block, query_block)
     return top_k(found, keys, ["distance", "item_id"], k) if rank else found
 
 
@@ -139,24 +139,35 @@ class _Best:
             yield from self.parts[0].combine_chunks().to_batches(max_chunksize=65_536)
 
 
-def _search_blocks(items, queries, keys, k, score, out, item_block, query_block) -> DataFrame:
+def _search_blocks(items, queries, keys, k, score, out, cell, item_block, query_block) -> DataFrame:
     """Many queries: both sides are cut into blocks of bounded size that meet in one task each.
 
     A cell with very many items or queries gets more blocks, so the work per
     task does not depend on how the rows are spread over the cells.
     """
-    n_items = items.groupBy("_cell").agg(F.count(F.lit(1)).alias("_ni"))
-    n_queries = queries.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nq"))
-    # One row per cell: the number of cells is a parameter of the index.
-    cuts = F.broadcast(n_items.join(n_queries, "_cell").select(
-        "_cell", F.ceil(F.col("_ni") / item_block).alias("_splits"),
-        F.ceil(F.col("_nq") / query_block).alias("_blocks")))
+    if cell is None:
+        sizes = [F.lit(max(1, -(-side.count() // block))).cast("bigint")
+                 for side, block in ((items, item_block), (queries, query_block))]
+
+        def with_cuts(df: DataFrame) -> DataFrame:
+            return df.withColumn("_splits", sizes[0]).withColumn("_blocks", sizes[1])
+    else:
+        # One row per cell: the number of cells is a parameter of the index.
+        n_items, n_queries = (df.groupBy("_cell").agg(F.count(F.lit(1)).alias(n))
+                              for df, n in ((items, "_ni"), (queries, "_nq")))
+        cuts = F.broadcast(n_items.join(n_queries, "_cell").select(
+            "_cell", F.ceil(F.col("_ni") / item_block).alias("_splits"),
+            F.ceil(F.col("_nq") / query_block).alias("_blocks")))
+
+        def with_cuts(df: DataFrame) -> DataFrame:
+            return df.join(cuts, "_cell")
+
     zero = F.lit(0).cast("bigint")
-    item_side = (items.join(cuts, "_cell")
+    item_side = (with_cuts(items)
                  .withColumn("_split", F.pmod(F.xxhash64("item_id"), F.col("_splits")))
                  .withColumn("_block", F.explode(F.sequence(zero, F.col("_blocks") - 1)))
                  .drop("_splits", "_blocks"))
-    query_side = (queries.join(cuts, "_cell")
+    query_side = (with_cuts(queries)
                   .withColumn("_block", F.pmod(F.xxhash64(*keys), F.col("_blocks")))
                   .withColumn("_split", F.explode(F.sequence(zero, F.col("_splits") - 1)))
                   .drop("_splits", "_blocks"))
