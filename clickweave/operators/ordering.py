@@ -8,40 +8,50 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators.skew import (
-    HOT_ROWS, hot_keys, key_sizes, number_copies, split_hot, with_row_index,
+    HOT_ROWS, hot_keys, key_sizes, number_copies, same_keys_join, split_hot, with_row_index,
 )
 
 TOP_K_BOUND = 10_000
 LIST_ROWS = 1_000_000
 
 
-def sort_rows(df: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Global ascending sort; the remaining columns break ties.
+def _distinct_order(df: DataFrame, order: Sequence[str],
+                    hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """The table and a full sort order under which no row fills a task.
 
     While no value of the first sort column has very many rows, no row can have
     very many copies and range partitioning is balanced. That is checked by a
     count per value. Otherwise identical rows are counted before they travel
-    and numbered, so that the partitions stay equal even when one row fills the
-    table.
+    and numbered in ``_copy``, so that the slices stay equal even when one row
+    fills the table.
     """
-    rest = [c for c in df.columns if c not in order]
+    full = [*order, *[c for c in df.columns if c not in order]]
     first = [order[0]]
     if hot_keys(key_sizes(df, first), first, hot_rows) is None:
-        return df.orderBy(*order, *rest)
-    numbered = number_copies(df, "_copy")
-    return numbered.orderBy(*order, *rest, "_copy").drop("_copy")
+        return df, full
+    return number_copies(df, "_copy"), [*full, "_copy"]
+
+
+def sort_rows(df: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Global ascending sort; the remaining columns break ties."""
+    rows, full = _distinct_order(df, order, hot_rows)
+    return rows.orderBy(*full).drop("_copy")
 
 
-def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+def first_rows(df: DataFrame, order: Sequence[str], n: int,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """The first ``n`` rows of a total order."""
     if n <= TOP_K_BOUND:
         return df.orderBy(*order).limit(n)
-    indexed = with_row_index(df, order, "_idx")
-    return indexed.where(F.col("_idx") < n).drop("_idx")
+    rows, full = _distinct_order(df, order, hot_rows)
+    return with_row_index(rows, full, "_idx").where(F.col("_idx") < n).drop("_idx", "_copy")
 
 
 def shuffled(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
-    """Rows in an order that looks random and depends only on keys and seed."""
+    """Rows in an order that looks random and depends only on keys and seed.
+
+    The keys must tell the rows apart.
+    """
     text = F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
     return df.withColumn("sort_key", portable_hash(text)).orderBy("sort_key", *keys)
 
@@ -63,7 +73,7 @@ def _positions_of_hot(df: DataFrame, key: str, order: Sequence[str]) -> DataFram
     unique = number_copies(df, "_copy")
     indexed = with_row_index(unique, [key, *order, *rest, "_copy"], "_idx")
     starts = indexed.groupBy(key).agg(F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    return (indexed.join(F.broadcast(starts), key)
+    return (same_keys_join(indexed, starts, [key], "inner")
             .withColumn("pos", F.col("_idx") - F.col("_start"))
             .drop("_idx", "_start", "_copy"))
 

@@ -8,6 +8,7 @@ which is the bound behind every broadcast of a hot-key table below.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -86,10 +87,15 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     hot = hot_keys(key_sizes(left, keys) if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         return left.join(right, keys, how)
-    light = left.join(hot, keys, "left_anti").join(right, keys, how)
     few = F.broadcast(right.join(hot, keys, "left_semi"))
     heavy = left.join(hot, keys, "left_semi").join(few, keys, how)
-    return light.unionByName(heavy)
+    light = left.join(hot, keys, "left_anti")
+    if how in ("inner", "left_semi"):
+        return light.join(right, keys, how).unionByName(heavy)
+    # A missing key matches nothing: such rows need not travel to one task.
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    out = light.where(~missing).join(right, keys, how).unionByName(heavy)
+    return out.unionByName(light.where(missing), allowMissingColumns=True)
 
 
 def number_copies(df: DataFrame, name: str = "copy_no", chunk: int = COPY_CHUNK) -> DataFrame:
@@ -146,4 +152,12 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
     hot = hot_keys(key_sizes(df, keys) if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         return df, None
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+    return same_keys_join(df, hot, keys, "left_anti"), same_keys_join(df, hot, keys, "left_semi")
+
+
+def same_keys_join(left: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join to a small table by broadcast, where a missing key equals a missing key."""
+    names = {k: f"_same_{k}" for k in keys}
+    small = F.broadcast(small.withColumnsRenamed(names))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(small, same, how).drop(*names.values())

@@ -113,6 +113,7 @@ def test_first_rows_both_ways(table, clicks, monkeypatch):
     assert sorted(map(tuple, od.first_rows(table, order, 25).collect())) == sorted(want)
     monkeypatch.setattr(od, "TOP_K_BOUND", 5)
     assert sorted(map(tuple, od.first_rows(table, order, 25).collect())) == sorted(want)
+    assert sorted(map(tuple, od.first_rows(table, order, 25, hot_rows=9).collect())) == sorted(want)
 
 
 def test_codes_follow_the_sorted_values_and_decode(spark, table):
@@ -152,3 +153,16 @@ def test_every_user_with_two_clicks_has_one_test_row(spark, table):
     assert out.samples.count() == out.kept.count() - out.users.count()
     capped = prepare(table, 1, 1, length=6, max_rows=50)
     assert capped.kept.count() == 50
+
+
+def test_missing_keys_may_be_hot_too(spark):
+    data = [(None, i % 7, i) for i in range(60)] + [(1, i % 5, i) for i in range(20)]
+    df = spark.createDataFrame(data, "uid bigint, id bigint, ctime bigint").repartition(3)
+    want = rows(od.with_history(df, "uid", ["ctime", "id"], "id", 3))
+    assert rows(od.with_history(df, "uid", ["ctime", "id"], "id", 3, hot_rows=10)
+                .select("uid", "id", "ctime", "pos", "is_last", "hist")) == want
+    names = spark.createDataFrame([(1, "a"), (2, "b")], "uid bigint, name string")
+    for how in ("left", "left_anti"):
+        right = names if how == "left" else names.select("uid")
+        got = skew.skew_join(df, right, ["uid"], how, hot_rows=15, small_rows=0)
+        assert rows(got) == rows(df.join(right, ["uid"], how))
