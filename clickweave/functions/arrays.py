@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 
 def pad_post(arr: Column, length: int, value: int = 0) -> Column:
     """Cut at the end to ``length``, or fill up at the end with ``value``."""
-    kept = F.slice(arr, 1, length)
-    return F.concat(kept, F.array_repeat(F.lit(value), F.lit(length) - F.size(kept)))
+    missing = F.lit(length) - F.least(F.size(arr), F.lit(length))
+    return F.concat(F.slice(arr, 1, length), F.array_repeat(F.lit(value), missing))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once.
+
+    An expression named inside a higher-order function is otherwise worked out
+    again for every element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def rounded(value: Column, digits: int = 6) -> Column:

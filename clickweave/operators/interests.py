@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from clickweave.functions.arrays import add, dot, log2_floor_1p, scale
+from clickweave.functions.arrays import add, dot, let, log2_floor_1p, scale
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators.skew import HOT_ROWS, skew_join
 from clickweave.session import ensure_checkpoint_dir, materialize, ship_package
@@ -131,12 +131,14 @@ def label_attention(capsules: Column, query: Column, power: float = 1.0,
     raw = F.transform(capsules, lambda c: F.pow(dot(c, query), F.lit(float(power))))
     if k_user is not None:
         raw = F.transform(raw, lambda w, i: F.when(i < k_user, w).otherwise(F.lit(MASKED)))
-    top = F.array_max(raw)
-    exps = F.transform(raw, lambda w: F.exp(w - top))
-    total = F.aggregate(exps, F.lit(0.0), lambda s, x: s + x)
-    weighted = F.zip_with(capsules, exps, lambda c, e: scale(c, e / total))
-    zero = F.transform(F.element_at(capsules, 1), lambda x: F.lit(0.0))
-    return F.aggregate(weighted, zero, add)
+    def mix(exps: Column, total: Column) -> Column:
+        weighted = F.zip_with(capsules, exps, lambda c, e: scale(c, e / total))
+        zero = F.transform(F.element_at(capsules, 1), lambda x: F.lit(0.0))
+        return F.aggregate(weighted, zero, add)
+
+    return let(raw, lambda r: let(F.array_max(r), lambda top: let(
+        F.transform(r, lambda w: F.exp(w - top)), lambda exps: let(
+            F.aggregate(exps, F.lit(0.0), lambda s, x: s + x), lambda total: mix(exps, total)))))
 
 
 def tile_user_features(capsules: DataFrame, users: DataFrame, other: str = "other_vec",
@@ -174,9 +176,9 @@ def sampled_softmax(rows: DataFrame, item_vectors: DataFrame, vocabulary: int, s
     grouped = scored.groupBy(row_id).agg(
         F.collect_list("_logit").alias("_logits"),
         F.max(F.when(F.col("_own"), F.col("_logit"))).alias("_own"))
-    top = F.array_max("_logits")
-    spread = F.aggregate("_logits", F.lit(0.0), lambda s, x: s + F.exp(x - top))
-    return grouped.select(row_id, (top + F.log(spread) - F.col("_own")).alias("loss"))
+    spread = let(F.array_max("_logits"), lambda top: top + F.log(
+        F.aggregate("_logits", F.lit(0.0), lambda s, x: s + F.exp(x - top))))
+    return grouped.select(row_id, (spread - F.col("_own")).alias("loss"))
 
 
 def mean_loss(losses: DataFrame) -> DataFrame:

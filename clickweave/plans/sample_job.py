@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -38,8 +39,9 @@ def prepare(clicks: DataFrame, inum: int = 3, unum: int = 6, length: int = SEQUE
     by_item, item_sizes = supported(source, "id", inum, hot_rows)
     by_user, user_sizes = supported(by_item, "uid", unum, hot_rows)
     kept = materialize(by_user, "kept")
-    users = dictionary(kept, "uid")
-    items = dictionary(kept, "id")
+    # Two independent jobs; together they fill the gaps each leaves on the cluster.
+    with ThreadPoolExecutor(2) as pool:
+        users, items = pool.map(lambda col: dictionary(kept, col), ("uid", "id"))
     coded = encode(kept, "uid", users, "user_id", hot_rows, user_sizes)
     short = items.select("id", F.col("code").cast("int").alias("code"))
     coded = encode(coded, "id", short, "item_id", hot_rows, item_sizes)

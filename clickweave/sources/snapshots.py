@@ -77,6 +77,12 @@ def missing_partitions(required: DataFrame, present: DataFrame) -> DataFrame:
     return required.join(present, ["source", "part"], "left_anti")
 
 
+def ready_hours(hours: DataFrame, present: DataFrame) -> DataFrame:
+    """The (day, hour) rows for which every required partition is present."""
+    waiting = missing_partitions(required_partitions(hours), present).select("day", "hour")
+    return hours.join(waiting.distinct(), ["day", "hour"], "left_anti")
+
+
 def partitions_of(spark: SparkSession, table: str, source: str) -> DataFrame:
     """Present partitions of a catalog table as (source, part)."""
     return (spark.sql(f"SHOW PARTITIONS {table}")

@@ -132,6 +132,15 @@ def test_readiness(spark):
         "source string, part string")
     missing = sn.missing_partitions(sn.required_partitions(hours), present)
     assert rows(missing.select("hour", "part")) == [("23", "pday=20240102/phour=00")]
+    assert rows(sn.ready_hours(hours, present)) == [("20240101", "22")]
+
+
+def test_partitions_of_a_catalog_table(spark, table, tmp_path):
+    (table.where(fl.hour_range("2024010103", "2024010104")).write.partitionBy("pdate", "phour")
+     .option("path", str(tmp_path / "t")).saveAsTable("clicks_by_hour"))
+    assert rows(sn.partitions_of(spark, "clicks_by_hour", "click")) == [
+        ("click", "pdate=20240101/phour=03"), ("click", "pdate=20240101/phour=04")]
+    spark.sql("DROP TABLE clicks_by_hour")
 
 
 @pytest.fixture(scope="module")
