@@ -22,6 +22,7 @@ HEADLINE = (
     "r03_ivf_search", "r05_pq_search", "r09_hit_rate",
 )
 CLICK_ROWS = "lineitem"
+WARM_UP = ("p11_prepare", "r01_exact_search")
 
 
 def main() -> None:
@@ -33,10 +34,16 @@ def main() -> None:
     queries = catalog.load()
     rows = spark.read.parquet(f"{sf}/{CLICK_ROWS}.parquet").count()
     took: dict[str, float] = {}
-    for name in names.split(",") if names else HEADLINE:
+
+    def run(name: str) -> float:
         began = time.perf_counter()
         queries[name].build(spark, sf).write.format("noop").mode("overwrite").save()
-        took[name] = round(time.perf_counter() - began, 3)
+        return round(time.perf_counter() - began, 3)
+
+    for name in WARM_UP:  # class loading and code generation, not timed
+        run(name)
+    for name in names.split(",") if names else HEADLINE:
+        took[name] = run(name)
     total = round(sum(took.values()), 3)
     print(json.dumps({
         "metric": "headline_seconds", "value": total, "unit": "sec", "queries": took,
