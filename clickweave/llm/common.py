@@ -56,18 +56,18 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 class WordCache(dict):
-    """Memo of a function of a byte string, emptied when it has ``limit`` entries.
+    """Memo of a function of a word, emptied when it has ``limit`` entries.
 
     Look-ups run through ``map(cache.__getitem__, words)``, so a known word costs
     one dictionary access. Words longer than ``longest`` are never kept.
     """
 
-    def __init__(self, make: Callable[[bytes], object], limit: int = 200_000,
+    def __init__(self, make: Callable, limit: int = 300_000,
                  longest: int = 64) -> None:
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
-    def __missing__(self, word: bytes):
+    def __missing__(self, word):
         value = self.make(word)
         if len(word) <= self.longest:
             if len(self) >= self.limit:

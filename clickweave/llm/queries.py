@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
 from clickweave.llm.registry import QUERIES, SQL, query
@@ -14,3 +16,11 @@ __all__ = ["QUERIES", "SQL"]
 @query("op3_compression_bands")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op7_bpe_forced_boundaries")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_encode(table(spark, sf_dir, "documents"), path, decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
