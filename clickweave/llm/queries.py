@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
 from clickweave.llm.registry import QUERIES, SQL, query
+from clickweave.llm.warc import fresh_folder, read_warc, write_warc
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -24,3 +25,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_encode(table(spark, sf_dir, "documents"), path, decode=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query("op2_warc_sequential", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+f AS (SELECT page_id, payload_bytes, hex, min(page_id) OVER (PARTITION BY hex) AS first FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INTEGER, 5))::INTEGER
+               >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_warc(table(spark, sf_dir, "pages"), fresh_folder(spark))
+    records = read_warc(spark, archives, payload=False)
+
+    def page(name: str) -> Column:
+        return F.substring_index(name, ":", -1).cast("long")
+
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", page("refers_to").alias("refers_to"))
