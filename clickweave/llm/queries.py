@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
+from clickweave.llm.license_scan import license_scan
 from clickweave.llm.registry import QUERIES, SQL, query
 from clickweave.llm.warc import fresh_folder, read_warc, write_warc
 
@@ -32,7 +33,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
 f AS (SELECT page_id, payload_bytes, hex, min(page_id) OVER (PARTITION BY hex) AS first FROM d)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INTEGER, 5))::INTEGER
                >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
@@ -47,3 +48,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
                           "record_type", page("refers_to").alias("refers_to"))
+
+
+@query("op10_license_positional")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
