@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
+from clickweave.llm.kd_shards import kd_tree_shards
 from clickweave.llm.license_scan import license_scan
 from clickweave.llm.registry import QUERIES, SQL, query
 from clickweave.llm.warc import fresh_folder, read_warc, write_warc
@@ -53,3 +54,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_positional")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_kd_tree_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_tree_shards(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
