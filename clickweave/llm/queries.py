@@ -10,6 +10,7 @@ from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
 from clickweave.llm.kd_shards import kd_tree_shards
 from clickweave.llm.license_scan import license_scan
+from clickweave.llm.quality_fm import fold, score, train
 from clickweave.llm.registry import QUERIES, SQL, query
 from clickweave.llm.warc import fresh_folder, read_warc, write_warc
 
@@ -61,3 +62,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_tree_shards(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_quality_fm")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"),
+                                     "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
