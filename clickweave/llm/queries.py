@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
+from clickweave.llm.decontaminate import contamination
 from clickweave.llm.kd_shards import kd_tree_shards
 from clickweave.llm.license_scan import license_scan
 from clickweave.llm.quality_fm import fold, score, train
@@ -70,3 +71,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"),
                                      "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_spaced_seeds")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
