@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickweave.llm.bpe import bpe_encode
+from clickweave.llm.chunk_dedup import repeated_spans
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
 from clickweave.llm.decontaminate import contamination
@@ -76,3 +77,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_spaced_seeds")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_gear_chunks")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), F.col("start").cast("long").alias("start_byte"),
+                        F.col("end").cast("long").alias("end_byte"),
+                        F.col("n_words").cast("long").alias("n_words"),
+                        F.col("first_id").alias("first_doc_id"))
