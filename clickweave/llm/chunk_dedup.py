@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, map_batches, record_batch, utf8
+from clickweave.llm.common import column, map_batches, record_batch, unused, utf8
 from clickweave.llm.words import U64, mix, odd_numbers
 from clickweave.operators.skew import skew_join
 from clickweave.session import materialize, ship_package
@@ -209,19 +209,20 @@ def drop_repeated(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``docs`` with all columns, their texts without the repeated spans."""
     names = docs.columns
+    key, id_text, parts = (unused(docs, n) for n in ("_key", "_id", "_spans"))
     spans = (repeated_spans(docs, rule, id_col, text_col)
-             .groupBy(F.col("key").alias("_key"),
-                      F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"))
-             .agg(F.collect_list(F.struct("start", "end")).alias("_spans")))
+             .groupBy(F.col("key").alias(key),
+                      F.coalesce(F.col("id").cast("string"), F.lit("")).alias(id_text))
+             .agg(F.collect_list(F.struct("start", "end")).alias(parts)))
     keyed = docs.withColumns({
-        "_key": _text_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")),
-        "_id": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))})
-    joined = skew_join(keyed, materialize(spans, "spans"), ["_key", "_id"], "left")
+        key: _text_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")),
+        id_text: F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))})
+    joined = skew_join(keyed, materialize(spans, "spans"), [key, id_text], "left")
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans_of, own = column(batch, "_spans").to_pylist(), batch.select(names)
+            spans_of, own = column(batch, parts).to_pylist(), batch.select(names)
             old = own.column(at)
             new = [t.as_py() if not s else cut_out(t.as_py().encode(), s).decode()
                    for t, s in zip(old, spans_of)]

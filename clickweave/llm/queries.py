@@ -10,6 +10,7 @@ from clickweave.llm.chunk_dedup import repeated_spans
 from clickweave.llm.common import table
 from clickweave.llm.compression import compression_rules
 from clickweave.llm.decontaminate import contamination
+from clickweave.llm.jaccard_join import jaccard_components
 from clickweave.llm.kd_shards import kd_tree_shards
 from clickweave.llm.license_scan import license_scan
 from clickweave.llm.quality_fm import fold, score, train
@@ -86,3 +87,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("end").cast("long").alias("end_byte"),
                         F.col("n_words").cast("long").alias("n_words"),
                         F.col("first_id").alias("first_doc_id"))
+
+
+@query("op6_jaccard_prefix_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard_components(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id"))
