@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clickweave.llm import token_files
 from clickweave.llm.bpe import bpe_encode
 from clickweave.llm.chunk_dedup import repeated_spans
 from clickweave.llm.common import table
@@ -93,3 +94,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (jaccard_components(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id"))
+
+
+@query("op9_context_mixing_ids")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"),
+                                     token_files.fresh_folder(spark),
+                                     public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, files, with_ids=False).withColumnRenamed("id", "doc_id")
