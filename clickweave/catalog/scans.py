@@ -113,22 +113,21 @@ def s09(spark, sf):
     return snapshots.latest_snapshot(_listing(spark, sf))
 
 
-@query("s10_readiness_gate", sql("""
-  SELECT day, hour, source, part FROM (
-    SELECT day, hour, 'click' AS source, 'pdate=' || day || '/phour=' || hour AS part FROM listing
-    UNION ALL
-    SELECT day, hour, 'profile', 'pday=' || day || '/phour=' || hour FROM listing
-    UNION ALL
-    SELECT day, hour, 'profile', 'pday=' ||
-      strftime(strptime(day || hour, '%Y%m%d%H') + INTERVAL 1 HOUR, '%Y%m%d') || '/phour=' ||
-      strftime(strptime(day || hour, '%Y%m%d%H') + INTERVAL 1 HOUR, '%H') FROM listing) r
-  WHERE NOT EXISTS (SELECT 1 FROM (
-      SELECT DISTINCT 'click' AS source, 'pdate=' || pdate || '/phour=' || phour AS part
-      FROM clicks_a
-      UNION ALL
-      SELECT DISTINCT 'profile', 'pday=' || pday || '/phour=' || phour FROM user_profile) p
-    WHERE p.source = r.source AND p.part = r.part)""", "listing", "user_profile"))
-def s10(spark, sf):
+REQUIRED = """
+  SELECT day, hour, 'click' AS source, 'pdate=' || day || '/phour=' || hour AS part FROM listing
+  UNION ALL
+  SELECT day, hour, 'profile', 'pday=' || day || '/phour=' || hour FROM listing
+  UNION ALL
+  SELECT day, hour, 'profile', 'pday=' ||
+    strftime(strptime(day || hour, '%Y%m%d%H') + INTERVAL 1 HOUR, '%Y%m%d') || '/phour=' ||
+    strftime(strptime(day || hour, '%Y%m%d%H') + INTERVAL 1 HOUR, '%H') FROM listing"""
+PRESENT = """
+  SELECT DISTINCT 'click' AS source, 'pdate=' || pdate || '/phour=' || phour AS part FROM clicks_a
+  UNION ALL
+  SELECT DISTINCT 'profile', 'pday=' || pday || '/phour=' || phour FROM user_profile"""
+
+
+def _present(spark, sf):
     clicks = (fx.clicks_a(spark, sf)
               .select(F.lit("click").alias("source"),
                       F.concat(F.lit("pdate="), "pdate", F.lit("/phour="), "phour").alias("part"))
@@ -137,11 +136,27 @@ def s10(spark, sf):
                 .select(F.lit("profile").alias("source"),
                         F.concat(F.lit("pday="), "pday", F.lit("/phour="), "phour").alias("part"))
                 .distinct())
+    return clicks.unionByName(profiles)
+
+
+@query("s10_readiness_gate", sql(f"""
+  SELECT day, hour, source, part FROM ({REQUIRED}) r
+  WHERE NOT EXISTS (SELECT 1 FROM ({PRESENT}) p
+    WHERE p.source = r.source AND p.part = r.part)""", "listing", "user_profile"))
+def s10(spark, sf):
     needed = snapshots.required_partitions(_listing(spark, sf))
-    missing = snapshots.missing_partitions(needed, clicks.unionByName(profiles))
+    missing = snapshots.missing_partitions(needed, _present(spark, sf))
     return missing.select("day", "hour", "source", "part")
 
 
+@query("s10_ready_hours", sql(f"""
+  SELECT r.day, r.hour FROM ({REQUIRED}) r LEFT JOIN ({PRESENT}) p USING (source, part)
+  GROUP BY r.day, r.hour HAVING bool_and(p.part IS NOT NULL)""", "listing", "user_profile"))
+def s10_ready(spark, sf):
+    hours = _listing(spark, sf).select("day", "hour")
+    return snapshots.ready_hours(hours, _present(spark, sf))
+
+
 @query("s11_retention", sql("""
   SELECT day FROM (SELECT day, dense_rank() OVER (ORDER BY day DESC) AS r FROM listing) t
   WHERE r > 7 GROUP BY day""", "listing"))

@@ -9,12 +9,14 @@ from clickweave.catalog.registry import query, sql
 from clickweave.operators.dedup import latest_per_key
 from clickweave.operators.filters import hour_range
 from clickweave.plans.window_job import backfill, merge_window
-from clickweave.session import scratch_path
+from clickweave.session import materialize, scratch_path
 from clickweave.sources.clicklog import read_click_table, read_snapshot, write_clustered_clicks
+from clickweave.sources.snapshots import required_partitions
 from clickweave.streaming.hourly import announce_hours, continuous_dedup, latest_complete, run_hourly
 
 RUN = ("20240116", "09")
 START_END = "2024010723"
+HOLE = "2024010607"
 COLS = ["uid", "id", "ctime"]
 
 
@@ -58,17 +60,35 @@ def st4(spark, sf):
 
 @query("st2_hourly_stream", sql(STATE, "good_clicks"))
 def st2(spark, sf):
-    """Three starts of the loop on one checkpoint, each after more hours became ready."""
+    """The loop on one checkpoint, started again after each announcement.
+
+    Hours are announced out of order and with a hole that is filled last, and the
+    partitions of every hour are there but for the last start.
+    """
     rows = fx.good_clicks(spark, sf).select(*COLS, "pdate", "phour")
     source, base = scratch_path(spark, "clicks"), scratch_path(spark, "snapshots")
     markers, checkpoint = scratch_path(spark, "markers"), scratch_path(spark, "loop")
     write_clustered_clicks(rows, source)
-    hours = fx.clicks_a(spark, sf).select("pdate", "phour").distinct()
-    for first, last in (("2024010100", "2024011011"), ("2024011012", "2024012023"),
-                        ("2024012100", "2024013123")):
-        announce_hours(hours.where(hour_range(first, last)), markers)
+    name = F.concat("pdate", "phour")
+    ends = fx.clicks_a(spark, sf).agg(F.min(name).alias("low"), F.max(name).alias("high"))
+    time = [F.to_timestamp_ntz(c, F.lit("yyyyMMddHH")) for c in ("low", "high")]
+    every = F.explode(F.sequence(*time, F.expr("interval 1 hour"))).alias("h")
+    hours = materialize(ends.select(every).select(
+        F.date_format("h", "yyyyMMdd").alias("pdate"), F.date_format("h", "HH").alias("phour")),
+        "hours")
+    begin = hours.agg(F.min(F.struct("pdate", "phour")).alias("s")).first()["s"]
+
+    def partitions():
+        now = hours.select(F.col("pdate").alias("day"), F.col("phour").alias("hour"))
+        return required_partitions(now).select("source", "part").distinct()
+
+    hole = F.concat("pdate", "phour") == HOLE
+    for part in (~hole & hour_range("2024011012", "2024012023"),
+                 ~hole & hour_range("2024010100", "2024011011"),
+                 hour_range("2024012100", "2024013123"), hole):
+        announce_hours(hours.where(part), markers)
         run_hourly(spark, markers, base, lambda: read_click_table(spark, source, rows.schema),
-                   checkpoint).awaitTermination()
+                   checkpoint, present=partitions, first=tuple(begin)).awaitTermination()
     day, hour = latest_complete(spark, base)
     return read_snapshot(spark, f"{base}/{day}/{hour}", "uid bigint, id bigint, ctime bigint")
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickweave.operators.filters import hour_range
 from clickweave.plans.window_job import KEEP_DAYS, WINDOW_HOURS, backfill, clean
 from clickweave.sources.clicklog import read_snapshot, write_snapshot
-from clickweave.sources.snapshots import list_snapshots
+from clickweave.sources.snapshots import list_snapshots, ready_hours
 
 MARKER_SCHEMA = "pdate string, phour string"
 
@@ -20,34 +21,70 @@ def announce_hours(hours: DataFrame, path: str) -> None:
 
 
 def latest_complete(spark: SparkSession, base: str) -> tuple[str, str] | None:
+    """The newest complete snapshot; the loop goes on from it.
+
+    A newer folder without its success mark is what a failed run left: its hour
+    has not been processed, and the loop writes that folder again. A reader that
+    has no loop behind it uses ``latest_snapshot``, which refuses instead.
+    """
     row = (list_snapshots(spark, base).where("is_complete")
            .agg(F.max(F.struct("day", "hour")).alias("s")).first()["s"])
     return None if row is None else (row["day"], row["hour"])
 
 
+def hour_after(day: str, hour: str) -> tuple[str, str]:
+    later = datetime.strptime(day + hour, "%Y%m%d%H") + timedelta(hours=1)
+    return later.strftime("%Y%m%d"), later.strftime("%H")
+
+
+def unbroken_run(ready: list[tuple[str, str]], start: tuple[str, str]) -> list[tuple[str, str]]:
+    """``start`` and the hours that follow it without a gap, as far as they are ready."""
+    known, run = set(ready), []
+    while start in known:
+        run.append(start)
+        start = hour_after(*start)
+    return run
+
+
 def snapshot_step(spark: SparkSession, base: str, clicks: Callable[[], DataFrame],
+                  announced: Callable[[], DataFrame],
+                  present: Callable[[], DataFrame] | None = None,
+                  first: tuple[str, str] | None = None,
                   hours: int = WINDOW_HOURS, zone: str = "UTC", files: int | None = None,
                   max_keep: int = KEEP_DAYS) -> Callable[[DataFrame, int], None]:
-    """What a micro-batch of ready hours does to the snapshot tree.
-
-    All ready hours after the newest complete snapshot are merged in one job
-    and written as the snapshot of the last of them; running every hour on its
-    own ends in the same state. An hour at or before the newest snapshot was
-    processed already, so a repeated batch changes nothing, and rows that come
-    later for it are lost.
+    """What a trigger of the loop does to the snapshot tree.
+
+    A marker is a wake-up call. Of all hours announced so far that come after the
+    newest complete snapshot, those are ready whose partitions are ``present``
+    (click partition, profile partition of the hour and of the next; without
+    ``present`` an announced hour is ready). The unbroken run that begins one hour
+    after the newest snapshot, or at ``first`` while there is none, is merged in one
+    job and written as the snapshot of its last hour; running every hour on its own
+    ends in the same state. Hours behind a gap wait for the trigger that fills it,
+    whatever the order of the markers. A repeated batch changes nothing, and rows
+    that come later for a processed hour are lost.
+
+    Without ``first`` and without a snapshot the loop starts at the smallest hour
+    that is ready then.
     """
 
-    def step(ready: DataFrame, batch_id: int) -> None:
-        names = sorted({(r["pdate"], r["phour"]) for r in ready.distinct().collect()})
+    def step(_markers: DataFrame, batch_id: int) -> None:
         done = latest_complete(spark, base)
-        names = [n for n in names if done is None or n > done]
+        waiting = announced().select(F.col("pdate").alias("day"), F.col("phour").alias("hour"))
+        if done is not None:
+            waiting = waiting.where(F.concat("day", "hour") > "".join(done))
+        waiting = waiting.distinct()
+        if present is not None:
+            waiting = ready_hours(waiting, present())
+        ready = sorted((r["day"], r["hour"]) for r in waiting.collect())  # hours of some days
+        if not ready:
+            return
+        names = unbroken_run(ready, hour_after(*done) if done else first or ready[0])
         if not names:
             return
         table = clicks()
         day, hour = names[-1]
         span = table.where(hour_range("".join(names[0]), day + hour))
-        wanted = [d + h for d, h in names]
-        span = span.where(F.concat("pdate", "phour").isin(wanted))
         if done is None:
             start = table.select("uid", "id", "ctime").limit(0)
         else:
@@ -65,8 +102,12 @@ def run_hourly(spark: SparkSession, markers: str, base: str, clicks: Callable[[]
                checkpoint: str, interval: str | None = None, **options):
     """Start the loop. Without ``interval`` it takes what is there and ends."""
     stream = spark.readStream.schema(MARKER_SCHEMA).json(markers)
+
+    def announced() -> DataFrame:
+        return spark.read.schema(MARKER_SCHEMA).json(markers)
+
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(snapshot_step(spark, base, clicks, **options)))
+              .foreachBatch(snapshot_step(spark, base, clicks, announced, **options)))
     if interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()

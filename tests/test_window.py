@@ -174,8 +174,8 @@ def test_stream_ends_in_the_folded_state(spark, streamed, clicks):
 
 def test_repeated_batch_changes_nothing(spark, streamed, clicks):
     base = scratch_path(spark, "snap")
-    step = hs.snapshot_step(spark, base, streamed, hours=12, files=1)
     ready = spark.createDataFrame([hour_name(h) for h in range(5)], "pdate string, phour string")
+    step = hs.snapshot_step(spark, base, streamed, lambda: ready, hours=12, files=1)
     step(ready, 0)
     before = state_of(spark, base)
     step(ready, 0)
@@ -193,3 +193,43 @@ def test_stream_dedup_keeps_each_key_once_per_window(spark, table, clicks):
      .trigger(availableNow=True).start().awaitTermination())
     got = rows(spark.read.parquet(sink).select("uid", "id"))
     assert got == sorted({(c[0], c[1]) for c in clicks}, key=repr)
+
+
+def test_hours_behind_a_gap_wait(spark, streamed, clicks, tmp_path):
+    markers, base, loop = (str(tmp_path / n) for n in ("m", "b", "l"))
+    states = []
+    for announced in ([0], [2], [4, 3], [1]):
+        announce(spark, announced, markers)
+        hs.run_hourly(spark, markers, base, streamed, loop, hours=12, files=2).awaitTermination()
+        states.append(hs.latest_complete(spark, base))
+    assert states == [hour_name(0)] * 3 + [hour_name(4)]
+    assert state_of(spark, base)[1] == fold(clicks, range(5), 12)
+
+
+def test_the_first_hour_is_waited_for(spark, streamed, tmp_path):
+    markers, base, loop = (str(tmp_path / n) for n in ("m", "b", "l"))
+    for announced, want in (([2], None), ([1], None), ([0], hour_name(2))):
+        announce(spark, announced, markers)
+        hs.run_hourly(spark, markers, base, streamed, loop, first=hour_name(0)).awaitTermination()
+        assert hs.latest_complete(spark, base) == want
+
+
+def test_the_gate_holds_an_hour_back(spark, streamed, tmp_path):
+    from clickweave.sources.snapshots import required_partitions
+    markers, base, loop = (str(tmp_path / n) for n in ("m", "b", "l"))
+    parts = required_partitions(spark.createDataFrame([hour_name(0), hour_name(1)], "day string, hour string"))
+    announce(spark, [0, 1, 2], markers)
+    hs.run_hourly(spark, markers, base, streamed, loop, present=lambda: parts).awaitTermination()
+    assert hs.latest_complete(spark, base) == hour_name(1)
+
+
+def test_the_loop_writes_a_failed_hour_again(spark, streamed, tmp_path):
+    markers, base, loop = (str(tmp_path / n) for n in ("m", "b", "l"))
+    announce(spark, [0], markers)
+    hs.run_hourly(spark, markers, base, streamed, loop).awaitTermination()
+    day, hour = hour_name(1)
+    (tmp_path / "b" / day / hour).mkdir(parents=True)
+    (tmp_path / "b" / day / hour / "part-0").write_text("half a row")
+    announce(spark, [1], markers)
+    hs.run_hourly(spark, markers, base, streamed, loop).awaitTermination()
+    assert hs.latest_complete(spark, base) == (day, hour)
