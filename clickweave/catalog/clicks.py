@@ -79,6 +79,13 @@ def f09(spark, sf):
     return first_rows(fx.good_clicks(spark, sf).select(*COLS), ["ctime", "id", "event_id"], 20)
 
 
+@query("f09_first_rows_many", sql(
+    "SELECT ctime, id, uid FROM clicks_b ORDER BY ctime, id, uid LIMIT 12000", "clicks_b"))
+def f09_many(spark, sf):
+    """More rows than a sort on one task takes, by an order with many ties."""
+    return first_rows(fx.clicks_b(spark, sf).select("ctime", "id", "uid"), ["ctime"], 12_000)
+
+
 @query("f10_pair_shape", sql(f"SELECT uid, id AS v_id, ctime AS v_ctime FROM clicks_a WHERE {NOT_NULL}",
                              "clicks_a"))
 def f10(spark, sf):

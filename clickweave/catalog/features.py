@@ -190,6 +190,38 @@ def m05(spark, sf):
     return _flat(out.withColumn("pos", F.col("pos").cast("bigint")), ["row_id", "pos"])
 
 
+STRANGER = 1_000_000
+
+
+def _with_strangers(rows):
+    """Every third item is padding, every third one that no table knows."""
+    other = (F.when(F.col("row_id") % 3 == 0, F.lit(0))
+             .when(F.col("row_id") % 3 == 1, F.col("item_id") + STRANGER)
+             .otherwise(F.col("item_id")).cast("int"))
+    return rows.withColumn("item_id", other)
+
+
+@query("m04_lookup_unknown", sql(f"""
+  SELECT row_id, d AS dim, round(CASE WHEN row_id % 3 = 2 THEN v ELSE 0 END, 6) + 0.0 AS value
+  FROM target""", "target"))
+def m04_unknown(spark, sf):
+    rows, emb, sizes = _inputs(spark, sf)
+    out = ft.lookup(_with_strangers(rows), emb, ft.SparseFeature("item_id", sizes["item_id"], DIM))
+    return _flat(out, ["row_id"], "item_id_vec")
+
+
+@query("m05_sequence_lookup_unknown", sql(f"""
+  SELECT row_id, pos, d AS dim, round(CASE WHEN pos % 3 = 2 THEN v ELSE 0 END, 6) + 0.0 AS value
+  FROM seqv WHERE pos % 3 <> 0""", "seqv"))
+def m05_unknown(spark, sf):
+    """Of three positions one is padding, one unknown, one known."""
+    rows, emb, sizes = _inputs(spark, sf)
+    strange = F.transform("hist_item_id", lambda x, i: F.when(i % 3 == 0, F.lit(0)).when(
+        (i % 3 == 1) & (x != 0), x + STRANGER).otherwise(x).cast("int"))
+    out = ft.sequence_lookup(rows.withColumn("hist_item_id", strange), emb, _history(sizes))
+    return _flat(out.withColumn("pos", F.col("pos").cast("bigint")), ["row_id", "pos"])
+
+
 @query("j04_embedding_join", sql(f"""
   SELECT user_id, pos, {CELL} FROM placed JOIN emb_item ON idx = item_id""", "placed", "emb_item"))
 def j04(spark, sf):
@@ -308,6 +340,11 @@ view("losses", f"""
     GROUP BY ALL) g GROUP BY row_id""", "ts", "pooled", "emb_item", "item_codes")
 
 
+view("strange", f"""
+  SELECT row_id, CASE row_id % 3 WHEN 0 THEN 0 WHEN 1 THEN item_id + {STRANGER} ELSE item_id END
+    AS item FROM ts""", "ts")
+
+
 def _losses(spark, sf):
     _, emb, sizes = _inputs(spark, sf)
     rows = _pooled_and_target(spark, sf).withColumnRenamed("hist_item_id_vec", "user_vec")
@@ -321,6 +358,27 @@ def m11(spark, sf):
     return _losses(spark, sf).withColumn("loss", rounded(F.col("loss")))
 
 
+@query("m11_sampled_softmax_unknown", sql(f"""
+  SELECT row_id, round(ln(sum(exp(logit))) - max(CASE WHEN own THEN logit END), 6) + 0.0 AS loss
+  FROM (
+    SELECT c.row_id, c.s, c.own, sum(p.v * coalesce(e.v, 0)) AS logit FROM (
+      SELECT row_id, -1 AS s, item AS cand, true AS own FROM strange
+      UNION ALL
+      SELECT row_id, s, cand, false FROM (
+        SELECT row_id, s, item, {fx.hash_sql("'7'", "row_id", "s")}
+          % (SELECT max(code) FROM item_codes) + 1 AS cand
+        FROM strange, range(0, 5) t(s)) d WHERE cand <> item) c
+    JOIN pooled p ON p.row_id = c.row_id LEFT JOIN emb_item e ON e.idx = c.cand AND e.d = p.d
+    GROUP BY ALL) g GROUP BY row_id""", "strange", "pooled", "emb_item", "item_codes"))
+def m11_unknown(spark, sf):
+    _, emb, sizes = _inputs(spark, sf)
+    rows = _with_strangers(_pooled_and_target(spark, sf)
+                           .withColumnRenamed("hist_item_id_vec", "user_vec"))
+    table = emb.where("embedding_name = 'item_id'").select(F.col("idx").alias("item_id"), "vec")
+    losses = it.sampled_softmax(rows, table, sizes["item_id"])
+    return losses.withColumn("loss", rounded(F.col("loss")))
+
+
 @query("m11_mean_loss", sql("SELECT round(avg(loss), 6) + 0.0 AS loss FROM losses", "losses"))
 def m11_mean(spark, sf):
     return it.mean_loss(_losses(spark, sf)).select(rounded(F.col("loss")).alias("loss"))
@@ -472,16 +530,17 @@ def m17(spark, sf):
 
 
 @query("m18_item_export", sql("""
-  SELECT i.id AS item_id, e.d AS dim, round(e.v, 6) + 0.0 AS value
-  FROM (SELECT DISTINCT id FROM clicks_b) i LEFT JOIN emb_item e ON e.idx = i.id""",
-                              "clicks_b", "emb_item"))
+  SELECT i.id AS item_id, c.code, e.d AS dim, round(e.v, 6) + 0.0 AS value
+  FROM (SELECT DISTINCT id FROM clicks_b) i LEFT JOIN item_codes c ON c.id = i.id
+    LEFT JOIN emb_item e ON e.idx = c.code""", "clicks_b", "item_codes", "emb_item"))
 def m18(spark, sf):
-    """Vectors by item number; items outside the vocabulary show a NULL."""
+    """Vectors of raw items by way of their codes; items outside the vocabulary show NULLs."""
     _, emb, _ = _inputs(spark, sf)
     clicks = fx.clicks_b(spark, sf).select(F.col("id").alias("item_id"))
-    out = ft.export_item_vectors(clicks, emb, "item_id")
-    cells = out.select("item_id", F.posexplode_outer("vec").alias("dim", "x"))
-    return cells.select("item_id", F.col("dim").cast("bigint").alias("dim"),
+    codes = prepared(spark, sf).items.select(F.col("id").alias("item_id"), "code")
+    out = ft.export_item_vectors(clicks, codes, emb, "item_id")
+    cells = out.select("item_id", "code", F.posexplode_outer("vec").alias("dim", "x"))
+    return cells.select("item_id", "code", F.col("dim").cast("bigint").alias("dim"),
                         rounded(F.col("x")).alias("value"))
 
 

@@ -52,6 +52,37 @@ def j05(spark, sf):
     return _out(hits, "query_id")
 
 
+NAMED_CELLS = """
+  SELECT query_id, item_id, round(distance, 6) + 0.0 AS distance, rank FROM (
+    SELECT p.query_id, p.item_id, p.distance,
+      row_number() OVER (PARTITION BY p.query_id ORDER BY p.distance, p.item_id) AS rank
+    FROM pair_dist p JOIN vecs a ON a.vec_id = p.query_id
+      JOIN vecs b ON b.vec_id = p.item_id AND b.label = a.label
+    WHERE p.query_id % 7 <> 0 AND p.item_id % 7 <> 0) t
+  WHERE rank <= 3"""
+
+
+def _named_cells(df, key):
+    """Text cells, missing in every seventh row."""
+    name = F.when(F.col(key) % 7 != 0, F.concat(F.lit("cell "), F.col("label").cast("string")))
+    return df.withColumn("named", name)
+
+
+@query("j05_text_cells", sql(NAMED_CELLS, "pair_dist"))
+def j05_text(spark, sf):
+    hits = rt.exact_search(_named_cells(fx.items(spark, sf), "item_id"),
+                           _named_cells(fx.queries(spark, sf), "query_id"), 3, cell="named")
+    return _out(hits, "query_id")
+
+
+@query("j05_text_cells_blocks", sql(NAMED_CELLS, "pair_dist"))
+def j05_text_blocks(spark, sf):
+    hits = rt.exact_search(_named_cells(fx.items(spark, sf), "item_id"),
+                           _named_cells(fx.queries(spark, sf), "query_id"), 3, cell="named",
+                           small_values=0, item_block=64, query_block=16)
+    return _out(hits, "query_id")
+
+
 @query("o02_top_k", sql("""
   SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, rank FROM (
     SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (

@@ -192,16 +192,37 @@ def _table(emb: DataFrame, name: str, key: str, vec: str) -> DataFrame:
             .select(F.col("idx").alias(key), F.col("vec").alias(vec)))
 
 
+UNKNOWN = ("zero", "fail")
+
+
+def vector_or_zero(vec: Column, dim: int, index: Column, unknown: str = "zero") -> Column:
+    """The vector found for ``index``, else zeros.
+
+    Index 0 is padding and always has the zero vector. Any other index without a
+    vector gets it too, or ends the job when ``unknown`` is "fail".
+    """
+    if unknown not in UNKNOWN:
+        raise ValueError(f"unknown must be one of {UNKNOWN}")
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    if unknown == "zero":
+        return F.coalesce(vec, zeros)
+    message = F.concat(F.lit("no vector for index "), F.coalesce(index.cast("string"), F.lit("NULL")))
+    return (F.when(vec.isNotNull(), vec).when(index == 0, zeros)
+            .otherwise(F.raise_error(message)))
+
+
 def lookup(rows: DataFrame, emb: DataFrame, feature: SparseFeature, out: str | None = None,
-           mask_zero: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds the vector of one id column."""
+           mask_zero: bool = False, hot_rows: int = HOT_ROWS, unknown: str = "zero") -> DataFrame:
+    """Adds the vector of one id column. Every row stays, see :func:`vector_or_zero`."""
     out = out or f"{feature.name}_vec"
     index = F.col(feature.name)
     if feature.use_hash:
         index = bucket(index, feature.vocabulary_size, mask_zero)
     keyed = rows.withColumn("_idx", index.cast("bigint"))
     table = _table(emb, feature.table, "_idx", out)
-    return skew_join(keyed, table, ["_idx"], "inner", hot_rows).drop("_idx")
+    found = skew_join(keyed, table, ["_idx"], "left", hot_rows)
+    vec = vector_or_zero(F.col(out), feature.dim, F.col("_idx"), unknown)
+    return found.withColumn(out, vec).drop("_idx")
 
 
 def lookup_groups(rows: DataFrame, emb: DataFrame, features: Sequence[SparseFeature],
@@ -218,8 +239,9 @@ def lookup_groups(rows: DataFrame, emb: DataFrame, features: Sequence[SparseFeat
 
 
 def sequence_lookup(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
-                    row_id: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(row_id, pos, [weight,] vec) for every position that counts.
+                    row_id: str = "row_id", hot_rows: int = HOT_ROWS,
+                    unknown: str = "zero") -> DataFrame:
+    """(row_id, pos, [weight,] vec) for every position that counts, known id or not.
 
     A position counts while it is below the length column, or, without one,
     while its id is not 0. Padding ids are dropped before the join: they would
@@ -242,7 +264,9 @@ def sequence_lookup(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
     if feature.weight_name:
         picked.append(F.get(F.col(feature.weight_name), F.col("pos")).alias("weight"))
     table = _table(emb, feature.sparse.table, "_idx", "vec")
-    return skew_join(flat.select(*picked), table, ["_idx"], "inner", hot_rows).drop("_idx")
+    found = skew_join(flat.select(*picked), table, ["_idx"], "left", hot_rows)
+    vec = vector_or_zero(F.col("vec"), feature.sparse.dim, F.col("_idx"), unknown)
+    return found.withColumn("vec", vec).drop("_idx")
 
 
 # --- pooling ----------------------------------------------------------------
@@ -335,8 +359,13 @@ def concat_features(cols: Sequence[str]) -> Column:
     return F.concat(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
 
 
-def export_item_vectors(clicks: DataFrame, emb: DataFrame, name: str,
+def export_item_vectors(clicks: DataFrame, codes: DataFrame, emb: DataFrame, name: str,
                         item: str = "item_id") -> DataFrame:
-    """(item, vec) for every distinct item; one without a vector keeps a NULL."""
+    """(item, code, vec) for every distinct raw item.
+
+    ``codes`` is (item, code); vectors are kept by code. An item outside the
+    vocabulary keeps a NULL code and a NULL vector.
+    """
     items = clicks.select(item).distinct()
-    return items.join(_table(emb, name, item, "vec"), item, "left")
+    coded = items.join(codes.select(item, "code"), item, "left")
+    return coded.join(_table(emb, name, "code", "vec"), "code", "left").select(item, "code", "vec")

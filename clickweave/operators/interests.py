@@ -157,7 +157,8 @@ def sampled_softmax(rows: DataFrame, item_vectors: DataFrame, vocabulary: int, s
     """(row_id, loss): cross-entropy of the true item against sampled ones.
 
     Samples are drawn uniformly from 1 .. vocabulary - 1 by a hash of (seed,
-    row, number); a draw that hits the true item is left out.
+    row, number); a draw that hits the true item is left out. An item without a
+    vector counts as the zero vector, so no row is lost and no draw left out.
     """
     def draw(s: Column) -> Column:
         text = F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), s.cast("string"))
@@ -170,9 +171,10 @@ def sampled_softmax(rows: DataFrame, item_vectors: DataFrame, vocabulary: int, s
                        F.explode(F.concat(F.array(own), negatives)).alias("_cand"))
     table = item_vectors.select(F.col("item_id").cast("bigint").alias("_cand"),
                                 F.col("vec").alias("_item"))
-    scored = (skew_join(flat, table, ["_cand"], "inner", hot_rows)
+    scored = (skew_join(flat, table, ["_cand"], "left", hot_rows)
               .select(row_id, (F.col("_cand") == F.col("_true")).alias("_own"),
-                      dot(F.col(user_vec), F.col("_item")).alias("_logit")))
+                      F.coalesce(dot(F.col(user_vec), F.col("_item")), F.lit(0.0))
+                      .alias("_logit")))
     grouped = scored.groupBy(row_id).agg(
         F.collect_list("_logit").alias("_logits"),
         F.max(F.when(F.col("_own"), F.col("_logit"))).alias("_own"))

@@ -40,9 +40,9 @@ def sort_rows(df: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS) ->
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int,
                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The first ``n`` rows of a total order."""
+    """The first ``n`` rows; the remaining columns break ties, for every ``n``."""
     if n <= TOP_K_BOUND:
-        return df.orderBy(*order).limit(n)
+        return df.orderBy(*order, *[c for c in df.columns if c not in order]).limit(n)
     rows, full = _distinct_order(df, order, hot_rows)
     return with_row_index(rows, full, "_idx").where(F.col("_idx") < n).drop("_idx", "_copy")
 

@@ -29,7 +29,13 @@ MODEL_VALUES = 32_000_000
 
 
 def _with_cell(df: DataFrame, cell: str | None) -> DataFrame:
-    return df.withColumn("_cell", F.lit(0) if cell is None else F.col(cell).cast("int"))
+    """Cells as numbers: whole numbers stay, anything else is hashed. A row without a cell
+    matches nothing, on either side."""
+    if cell is None:
+        return df.withColumn("_cell", F.lit(0).cast("bigint"))
+    whole = isinstance(df.schema[cell].dataType, T.IntegralType)
+    number = F.col(cell).cast("bigint") if whole else F.xxhash64(cell)
+    return df.where(F.col(cell).isNotNull()).withColumn("_cell", number)
 
 
 def _partials(table: pa.Table, keys: Sequence[str], rows: np.ndarray, ids: pa.Array,
@@ -51,7 +57,8 @@ def _search(items: DataFrame, queries: DataFrame, keys: Sequence[str], k: int, p
     queries = materialize(_with_cell(queries, cell).select(*keys, "vec", "_cell"), "queries")
     out = T.StructType([*[f for f in queries.schema if f.name in keys],
                         items.schema["item_id"], T.StructField("distance", T.DoubleType())])
-    width = F.size("vec")
+    # What a task holds: the queries, and up to k found rows for each of them.
+    width = F.greatest(F.size("vec"), F.lit(k))
     size = queries.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
     if size <= small_values:
         found = _search_small(items, queries, keys, k, score, out, item_block)
@@ -63,7 +70,7 @@ def _search(items: DataFrame, queries: DataFrame, keys: Sequence[str], k: int, p
 def _search_small(items, queries, keys, k, score, out, item_block) -> DataFrame:
     """Queries fit every task (their size was checked): items are not shuffled at all."""
     asked = queries.orderBy("_cell", *keys).toArrow()
-    cells = asked.column("_cell").to_numpy() if asked.num_rows else np.zeros(0, np.int32)
+    cells = asked.column("_cell").to_numpy() if asked.num_rows else np.zeros(0, np.int64)
     probed = np.unique(cells)
     if 0 < len(probed) <= 1000:
         items = items.where(F.col("_cell").isin([int(c) for c in probed]))
@@ -72,7 +79,7 @@ def _search_small(items, queries, keys, k, score, out, item_block) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         vecs = matrix(table.column("vec"))
-        cell_of = table.column("_cell").to_numpy() if table.num_rows else np.zeros(0, np.int32)
+        cell_of = table.column("_cell").to_numpy() if table.num_rows else np.zeros(0, np.int64)
         best = _Best(k, keys)
         waiting, rows = [], 0
         for batch in batches:
@@ -95,7 +102,7 @@ def _score_cells(score, asked, vecs, cell_of, block, keys, k, best) -> None:
     ids = block.column("item_id").combine_chunks()
     plain_ids = ids.to_numpy(zero_copy_only=False)
     for cell in np.unique(block_cells):
-        lo, hi = np.searchsorted(cell_of, [cell, cell + 1])
+        lo, hi = (np.searchsorted(cell_of, cell, side) for side in ("left", "right"))
         if lo == hi:
             continue
         here = np.nonzero(block_cells == cell)[0]
@@ -152,15 +159,15 @@ def _search_blocks(items, queries, keys, k, score, out, cell, item_block, query_
         def with_cuts(df: DataFrame) -> DataFrame:
             return df.withColumn("_splits", sizes[0]).withColumn("_blocks", sizes[1])
     else:
-        # One row per cell: the number of cells is a parameter of the index.
         n_items, n_queries = (df.groupBy("_cell").agg(F.count(F.lit(1)).alias(n))
                               for df, n in ((items, "_ni"), (queries, "_nq")))
-        cuts = F.broadcast(n_items.join(n_queries, "_cell").select(
+        # One row per cell, and a cell may be any value of the data: measured by skew_join.
+        cuts = materialize(n_items.join(n_queries, "_cell").select(
             "_cell", F.ceil(F.col("_ni") / item_block).alias("_splits"),
-            F.ceil(F.col("_nq") / query_block).alias("_blocks")))
+            F.ceil(F.col("_nq") / query_block).alias("_blocks")), "cuts")
 
         def with_cuts(df: DataFrame) -> DataFrame:
-            return df.join(cuts, "_cell")
+            return skew_join(df, cuts, ["_cell"])
 
     zero = F.lit(0).cast("bigint")
     item_side = (with_cuts(items)
