@@ -8,7 +8,9 @@ from clickweave.catalog import fixtures as fx
 from clickweave.catalog.registry import query, sql
 from clickweave.operators import aggregates as ag, filters as fl
 from clickweave.operators.dedup import distinct_values, latest_per_key, union_all
-from clickweave.operators.ordering import first_rows, history_lists, shuffled, sort_rows
+from clickweave.operators.ordering import (
+    first_rows, history_lists, in_order_read, shuffled, sort_rows,
+)
 from clickweave.plans.window_job import cutoff_epoch
 from clickweave.sources.clicklog import exact_partitions
 
@@ -46,7 +48,7 @@ def f04(spark, sf):
   SELECT event_id, pdate, phour FROM clicks_a
   WHERE pdate || phour BETWEEN '2024010501' AND '2024011201'""", "clicks_a"))
 def f05(spark, sf):
-    return (fx.clicks_a(spark, sf).where(fl.hour_range("2024010501", "2024011201"))
+    return (fx.click_table(spark, sf).where(fl.hour_range("2024010501", "2024011201"))
             .select("event_id", "pdate", "phour"))
 
 
@@ -54,7 +56,7 @@ def f05(spark, sf):
   SELECT event_id, pdate, phour FROM clicks_a
   WHERE CAST(pdate AS BIGINT) = 20240121 AND CAST(phour AS BIGINT) = 1""", "clicks_a"))
 def f06(spark, sf):
-    return (fx.clicks_a(spark, sf).where(fl.partition_is(20240121, 1))
+    return (fx.click_table(spark, sf).where(fl.partition_is(20240121, 1))
             .select("event_id", "pdate", "phour"))
 
 
@@ -195,6 +197,16 @@ def a10(spark, sf):
     return ag.partition_profile(exact_partitions(fx.clicks_a(spark, sf), 8), "event_id")
 
 
+@query("a10_profile_facts", sql("""
+  SELECT CAST(8 AS BIGINT) AS n_parts, count(*) AS n_rows, min(event_id) AS lo, max(event_id) AS hi
+  FROM clicks_a""", "clicks_a"))
+def a10_facts(spark, sf):
+    """What the profile of any split into eight partitions adds up to."""
+    profile = ag.partition_profile(exact_partitions(fx.clicks_a(spark, sf), 8), "event_id")
+    return profile.agg(F.count("part").alias("n_parts"), F.sum("n").alias("n_rows"),
+                       F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
 @query("a11_funnel", sql(f"""
   SELECT stage, count(*) AS n_rows, count(DISTINCT id) AS n_items, count(DISTINCT uid) AS n_users
   FROM (SELECT 'all' AS stage, uid, id FROM clicks_a
@@ -202,9 +214,10 @@ def a10(spark, sf):
         UNION ALL SELECT 'quality', uid, id FROM good_clicks) s
   GROUP BY stage""", "good_clicks"))
 def a11(spark, sf):
-    rows = fx.clicks_a(spark, sf)
-    return ag.funnel([("all", rows), ("not_null", rows.where(fl.not_null())),
-                      ("quality", fx.good_clicks(spark, sf))])
+    quality = (fl.not_null() & fl.channel_allowed(fx.BLOCKED) & fl.engaged()
+               & fl.item_type_allowed())
+    return ag.funnel(fx.clicks_a(spark, sf), [("all", F.lit(True)), ("not_null", fl.not_null()),
+                                              ("quality", quality)])
 
 
 # --- sorts -----------------------------------------------------------------------
@@ -215,6 +228,14 @@ def o01(spark, sf):
     return sort_rows(fx.clicks_b(spark, sf), ["ctime", "id"])
 
 
+@query("o01_places", sql("""
+  SELECT uid, id, ctime, row_number() OVER (ORDER BY ctime, id, uid) - 1 AS place FROM clicks_b""",
+                         "clicks_b"))
+def o01_places(spark, sf):
+    """The place in which a reader of the sorted table meets each row."""
+    return in_order_read(sort_rows(fx.clicks_b(spark, sf), ["ctime", "id"]))
+
+
 @query("o04_random_order", sql(f"""
   SELECT event_id, uid, id, {fx.hash_sql('event_id', "'11'")} AS sort_key FROM clicks_a""",
                                "clicks_a"))

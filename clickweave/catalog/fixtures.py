@@ -11,6 +11,8 @@ from clickweave.catalog.registry import view
 from clickweave.functions.hashing import portable_hash
 from clickweave.functions.timeutil import epoch_of_ntz
 from clickweave.operators.filters import hourly_clicks
+from clickweave.session import scratch_path
+from clickweave.sources.clicklog import click_table_schema, read_click_table, write_click_table
 
 BLOCKED = ("error", "signup")
 INUM, UNUM, LENGTH = 25, 40, 64
@@ -65,6 +67,20 @@ def good_clicks(spark: SparkSession, sf: str) -> DataFrame:
     return hourly_clicks(clicks_a(spark, sf), blocked=BLOCKED)
 
 
+_CLICK_TABLES: dict[tuple[str, str], tuple[str, object]] = {}
+
+
+def click_table(spark: SparkSession, sf: str) -> DataFrame:
+    """clicks_a as a table partitioned by hour; written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CLICK_TABLES:
+        rows, path = clicks_a(spark, sf), scratch_path(spark, "click_table")
+        write_click_table(rows, path)
+        _CLICK_TABLES[key] = path, click_table_schema(rows)
+    path, schema = _CLICK_TABLES[key]
+    return read_click_table(spark, path, schema)
+
+
 def clicks_b(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("uid"),

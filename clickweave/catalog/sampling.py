@@ -9,7 +9,7 @@ from clickweave.catalog.registry import query, sql, view
 from clickweave.functions.arrays import pad_post
 from clickweave.operators import samples as sm
 from clickweave.operators.dedup import overlap
-from clickweave.operators.ordering import with_history, with_position
+from clickweave.operators.ordering import in_order_read, with_history, with_position
 from clickweave.operators.skew import key_sizes, skew_join
 from clickweave.plans.sample_job import Prepared, prepare
 from clickweave.session import materialize
@@ -82,6 +82,14 @@ def p03(spark, sf):
     return sm.preprocess(fx.clicks_b(spark, sf), fx.INUM, fx.UNUM).select("uid", "id", "ctime")
 
 
+@query("p03_places", sql("""
+  SELECT uid, id, ctime, row_number() OVER (ORDER BY ctime, id, uid) - 1 AS place FROM kept""",
+                         "kept"))
+def p03_places(spark, sf):
+    rows = sm.preprocess(fx.clicks_b(spark, sf), fx.INUM, fx.UNUM).select("uid", "id", "ctime")
+    return in_order_read(rows)
+
+
 @query("p03_default_support", sql("""
   SELECT uid, count(*) AS n FROM (
     SELECT * FROM clicks_b WHERE id IN (

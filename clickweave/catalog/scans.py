@@ -23,7 +23,7 @@ def _usable(spark, sf):
 @query("s01_partition_scan", sql("""
   SELECT uid, id, ctime FROM clicks_a WHERE pdate = '20240115' AND phour = '07'""", "clicks_a"))
 def s01(spark, sf):
-    return clicklog.scan_hour(fx.clicks_a(spark, sf), "20240115", "07")
+    return clicklog.scan_hour(fx.click_table(spark, sf), "20240115", "07")
 
 
 @query("s02_tsv_scan", sql(f"SELECT uid, id, ctime FROM clicks_a WHERE {NOT_NULL}", "clicks_a"))
@@ -177,3 +177,11 @@ def s12(spark, sf):
 def s13(spark, sf):
     rows = fx.clicks_a(spark, sf).select("event_id", "uid", "id", "ctime")
     return clicklog.exact_partitions(rows, 10)
+
+
+@query("s13_partition_numbers", sql(
+    "SELECT CAST(10 AS BIGINT) AS n_parts, count(*) AS n_rows FROM clicks_a", "clicks_a"))
+def s13_numbers(spark, sf):
+    parts = clicklog.exact_partitions(fx.clicks_a(spark, sf).select("event_id"), 10)
+    sizes = parts.groupBy(F.spark_partition_id().alias("part")).count()
+    return sizes.agg(F.count("part").alias("n_parts"), F.sum("count").alias("n_rows"))

@@ -73,23 +73,23 @@ def partition_profile(df: DataFrame, value: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")))
 
 
-def funnel(stages: Sequence[tuple[str, DataFrame]], item: str = "id",
+def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], item: str = "id",
            user: str = "uid") -> DataFrame:
-    """Rows, distinct items and distinct users of each stage.
+    """Rows, distinct items and distinct users of each stage, given as a condition.
 
-    Built from per-key counts: one partial aggregate per key instead of the
-    row expansion that several distinct counts in one aggregate would need.
+    Built from per-key counts of all stages at once: one pass over the rows for the
+    items and one for the users, however many stages there are.
     """
-    out = None
-    for name, df in stages:
-        for kind, key in (("items", item), ("users", user)):
-            one = (key_sizes(df, [key])
-                   .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                        F.count(key).alias("n_keys"))
-                   .select(F.lit(name).alias("stage"), F.lit(kind).alias("kind"),
-                           "n_rows", "n_keys"))
-            out = one if out is None else out.unionByName(one)
-    return out.groupBy("stage").agg(
-        F.max(F.when(F.col("kind") == "items", F.col("n_rows"))).alias("n_rows"),
-        F.max(F.when(F.col("kind") == "items", F.col("n_keys"))).alias("n_items"),
-        F.max(F.when(F.col("kind") == "users", F.col("n_keys"))).alias("n_users"))
+    marks = [F.when(c, 1).otherwise(0) for _, c in stages]
+
+    def counts(key: str) -> DataFrame:
+        per_key = df.groupBy(key).agg(*[F.sum(m).alias(f"s{i}") for i, m in enumerate(marks)])
+        known = [F.count(F.when(F.col(f"s{i}") > 0, F.col(key))) for i in range(len(stages))]
+        return per_key.agg(F.array(*[F.struct(
+            F.lit(name).alias("stage"), F.coalesce(F.sum(f"s{i}"), F.lit(0)).alias("n_rows"),
+            known[i].alias("n_keys")) for i, (name, _) in enumerate(stages)]).alias("a")
+        ).select(F.inline("a"))
+
+    items = counts(item).withColumnRenamed("n_keys", "n_items")
+    users = counts(user).select("stage", F.col("n_keys").alias("n_users"))
+    return items.join(users, "stage").select("stage", "n_rows", "n_items", "n_users")

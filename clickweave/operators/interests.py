@@ -58,8 +58,12 @@ def _capsules(batch: pa.RecordBatch, logits: np.ndarray, bilinear: np.ndarray):
 
 
 def route_interests(sequences: DataFrame, logits: np.ndarray, bilinear: np.ndarray,
-                    iterations: int = 3, row_id: str = "row_id") -> tuple[DataFrame, np.ndarray]:
-    """(row_id, hist_len, capsules ARRAY<ARRAY<DOUBLE>>) and the final routing logits.
+                    iterations: int = 3, row_id: str = "row_id",
+                    final_logits: bool = False) -> tuple[DataFrame, np.ndarray]:
+    """(row_id, hist_len, capsules ARRAY<ARRAY<DOUBLE>>) and the routing logits.
+
+    The logits are those the capsules were made with; ``final_logits`` adds the
+    last iteration's change, which takes one more pass.
 
     ``sequences`` holds (row_id, hist_len, places, values). The logits, one per
     capsule and position, are shared by all rows: every iteration is one pass in
@@ -112,7 +116,7 @@ def route_interests(sequences: DataFrame, logits: np.ndarray, bilinear: np.ndarr
                 [batch.column(row_id), batch.column("hist_len"), outer],
                 names=[row_id, "hist_len", "capsules"])
 
-    return stored.mapInArrow(emit, schema), last + changes(last)
+    return stored.mapInArrow(emit, schema), last + changes(last) if final_logits else last
 
 
 def interest_rows(capsules: DataFrame, col: str = "capsules", row_id: str = "row_id") -> DataFrame:

@@ -10,6 +10,7 @@ from clickweave.functions.hashing import portable_hash
 from clickweave.operators.skew import (
     HOT_ROWS, hot_keys, key_sizes, number_copies, same_keys_join, split_hot, with_row_index,
 )
+from clickweave.session import materialize
 
 TOP_K_BOUND = 10_000
 LIST_ROWS = 1_000_000
@@ -47,6 +48,13 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int,
     return with_row_index(rows, full, "_idx").where(F.col("_idx") < n).drop("_idx", "_copy")
 
 
+def in_order_read(df: DataFrame, name: str = "place") -> DataFrame:
+    """Adds the place (from 0) in which a reader of all partitions in turn meets each row."""
+    met = F.monotonically_increasing_id()
+    stored = materialize(df.withColumn("_met", met), "ordered")
+    return with_row_index(stored, ["_met"], name).drop("_met")
+
+
 def shuffled(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
     """Rows in an order that looks random and depends only on keys and seed.
 

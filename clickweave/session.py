@@ -16,6 +16,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _LOCAL_ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -33,6 +34,8 @@ def build_session(app: str = "clickweave", master: str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # State of a week of keys belongs on disk, not on the heap.
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)

@@ -11,6 +11,8 @@ from clickweave.operators.filters import CLICK_COLUMNS, not_null, partition_is
 
 # Text ids; the time is declared as a number so that it compares as one.
 SNAPSHOT_SCHEMA = "uid string, id string, ctime bigint"
+TEXT = {"sep": "\t", "header": True, "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False, "escape": '"', "nullValue": "\\N"}
 
 
 def scan_hour(table: DataFrame, day: str, hour: str,
@@ -49,9 +51,19 @@ def read_click_table(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 def write_snapshot(clicks: DataFrame, path: str, files: int | None = None,
                    mode: str = "errorifexists") -> None:
-    """Tab-separated text with a header. ``files=None`` leaves the count to Spark."""
-    spread = clicks if files is None else clicks.repartition(files)
-    spread.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+    """Tab-separated text with a header. ``files=None`` leaves the count to Spark.
+
+    Text comes back as it was: white space stays, an empty text isn't a missing one,
+    and a text with a line break, which a line can't hold, ends the job.
+    """
+    checked = [
+        F.when(F.col(f.name).rlike("[\r\n]"),
+               F.raise_error(F.lit(f"{f.name} holds a line break"))).otherwise(F.col(f.name))
+        .alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in clicks.schema]
+    spread = clicks.select(*checked)
+    spread = spread if files is None else spread.repartition(files)
+    spread.write.mode(mode).options(**TEXT).csv(path)
 
 
 def read_snapshot(spark: SparkSession, path: str | Sequence[str],
@@ -62,8 +74,7 @@ def read_snapshot(spark: SparkSession, path: str | Sequence[str],
     dropped together with rows that miss a key.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    rows = (spark.read.schema(schema).option("sep", "\t").option("header", True)
-            .option("mode", "PERMISSIVE").csv(paths))
+    rows = spark.read.schema(schema).options(**TEXT).option("mode", "PERMISSIVE").csv(paths)
     return rows.where(not_null())
 
 

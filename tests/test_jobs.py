@@ -110,7 +110,7 @@ def test_routing(samples, emb, table, data, iterations):
     rnd = np.random.default_rng(8)
     logits, bilinear = rnd.normal(size=(4, LENGTH)), rnd.normal(size=(DIM, 2))
     sequences = recall_job.history_sequences(samples, emb, history())
-    caps, b = it.route_interests(sequences, logits, bilinear, iterations)
+    caps, b = it.route_interests(sequences, logits, bilinear, iterations, final_logits=True)
     want, want_b = numpy_routing(data, table, logits, bilinear, iterations)
     np.testing.assert_allclose(b, want_b, atol=1e-9)
     got = {r["row_id"]: np.array(r["capsules"]) for r in caps.collect()}

@@ -233,3 +233,21 @@ def test_the_loop_writes_a_failed_hour_again(spark, streamed, tmp_path):
     announce(spark, [1], markers)
     hs.run_hourly(spark, markers, base, streamed, loop).awaitTermination()
     assert hs.latest_complete(spark, base) == (day, hour)
+
+
+def test_text_ids_come_back_as_they_were(spark, tmp_path):
+    odd = [(" s ", "", 1), ("tab\there", 'quo"te', 2), ("a\\b", "x", 3), ("#c", '"', 4), ("é", " ", 5)]
+    table = spark.createDataFrame(odd, cl.SNAPSHOT_SCHEMA)
+    cl.write_snapshot(table, str(tmp_path / "t"), 1)
+    assert rows(cl.read_snapshot(spark, str(tmp_path / "t"))) == sorted(odd, key=repr)
+    broken = spark.createDataFrame([("a\nb", "x", 1)], cl.SNAPSHOT_SCHEMA)
+    with pytest.raises(Exception, match="line break"):
+        cl.write_snapshot(broken, str(tmp_path / "u"))
+
+
+@pytest.mark.parametrize("name", ["s01_partition_scan", "f05_partition_range", "f06_partition_equality"])
+def test_registered_partition_queries_prune(spark, sf, name):
+    import __spark_entry__ as contract
+    plan = contract.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "pdate" in filters
