@@ -171,7 +171,9 @@ def repeated_spans(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     copied = materialize(counted.select("digest", F.col("first.id").alias("first_id"),
                                         F.col("first.key").alias("first_key"),
                                         F.col("first.start").alias("first_start"), "n"), "digests")
-    met = skew_join(all_chunks, copied.drop("n"), ["digest"], sizes=copied.select("digest", "n"))
+    # Joined the same way at every size: how many digests repeat grows with the data.
+    met = skew_join(all_chunks, copied.drop("n"), ["digest"], sizes=copied.select("digest", "n"),
+                    small_rows=0)
     later = met.where(~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
                         & (F.col("start") == F.col("first_start"))))
     by_text = later.groupBy("id", "key").agg(
