@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickweave.catalog import fixtures as fx
 from clickweave.catalog.registry import query, sql, view
 from clickweave.catalog.sampling import prepared
-from clickweave.functions.arrays import pad_post, rounded
+from clickweave.functions.arrays import dot, pad_post, rounded
 from clickweave.functions.hashing import portable_hash
 from clickweave.operators import features as ft, interests as it, samples as sm, scoring as sc
 from clickweave.operators.ordering import with_position
@@ -529,6 +529,22 @@ def m17(spark, sf):
     return _flat(out, ["row_id"], "hist_item_id_vec")
 
 
+@query("m17_dice_layer", sql("""
+  SELECT row_id, d AS dim, round(0.25 * (1 - p) * v + p * v, 6) + 0.0 AS value FROM (
+    SELECT row_id, d, v, 1 / (1 + exp(-(v - m) / sqrt(s + 1e-9))) AS p
+    FROM (SELECT row_id, d, 2 * v + 1 AS v FROM pooled) q
+      JOIN (SELECT d, avg(2 * v + 1) AS m, var_pop(2 * v + 1) AS s FROM pooled GROUP BY d) g
+      USING (d)) t""", "pooled"))
+def m17_layer(spark, sf):
+    """The activation as part of a dense layer that doubles its input and adds one."""
+    rows, emb, sizes = _inputs(spark, sf)
+    pooled = ft.pool_feature(rows, emb, _history(sizes))
+    layers = sc.fit_gates(pooled, [sc.Layer(2 * np.eye(DIM), np.ones(DIM), "dice")], 0.25,
+                          "hist_item_id_vec")
+    return _flat(sc.dense_layers(pooled, layers, "hist_item_id_vec"), ["row_id"],
+                 "hist_item_id_vec")
+
+
 @query("m18_item_export", sql("""
   SELECT i.id AS item_id, c.code, e.d AS dim, round(e.v, 6) + 0.0 AS value
   FROM (SELECT DISTINCT id FROM clicks_b) i LEFT JOIN item_codes c ON c.id = i.id
@@ -552,6 +568,35 @@ def m19(spark, sf):
         F.col("idx").alias("item_id"), F.size("vec").alias("dim"))
 
 
+@query("m19_learned_facts", sql("""
+  SELECT count(DISTINCT item_id) AS n_items, CAST(16 AS BIGINT) AS dim, true AS above_chance
+  FROM samples WHERE NOT is_test""", "samples"))
+def m19_facts(spark, sf):
+    """How many items have vectors, their length, and whether seen pairs score above others.
+
+    A seen pair is a user and an item of the training rows; the other pair is the
+    same user with the item whose number is mirrored in the vocabulary.
+    """
+    p = prepared(spark, sf)
+    rows = p.samples.where(~F.col("is_test")).select("user_id", "item_id").distinct()
+    model = it.learn_vectors(rows)
+    items = it.item_vectors(model).select(F.col("idx").alias("item_id"), "vec")
+    users = model.userFactors.select(F.col("id").cast("bigint").alias("user_id"),
+                                     F.col("features").cast("array<double>").alias("user"))
+    ends = rows.agg((F.max("item_id") + F.min("item_id")).alias("s")).first()["s"]
+    own = F.col("item_id").cast("bigint")
+    pairs = rows.select("user_id", F.inline(F.array(
+        F.struct(own.alias("item_id"), F.lit(1).alias("seen")),
+        F.struct((F.lit(ends) - own).alias("item_id"), F.lit(0).alias("seen")))))
+    scored = (pairs.join(users, "user_id").join(items, "item_id")
+              .withColumn("s", dot(F.col("user"), F.col("vec"))))
+    mean = [F.avg(F.when(F.col("seen") == k, F.col("s"))) for k in (1, 0)]
+    better = scored.agg((mean[0] > mean[1]).alias("b")).first()["b"]
+    sizes = items.agg(F.count("item_id").alias("n_items"),
+                      F.max(F.size("vec")).cast("bigint").alias("dim"))
+    return sizes.withColumn("above_chance", F.lit(better))
+
+
 @query("m20_user_vectors", sql("""
   SELECT row_id, k AS interest_no, i AS dim, round(x, 6) + 0.0 AS value FROM tower2""", "tower2"))
 def m20(spark, sf):

@@ -113,6 +113,25 @@ def r02_train(spark, sf):
     return rt.assign_cells(vecs, rt.train_centroids(vecs, 10)).select("item_id", "cell")
 
 
+@query("r02_train_facts", """
+  SELECT count(*) AS n_items, CAST(10 AS BIGINT) AS n_cells, CAST(0 AS BIGINT) AS n_misplaced
+  FROM embeddings""")
+def r02_facts(spark, sf):
+    """Trained cells that are used, and items that lie nearer to another centroid than theirs."""
+    vecs = fx.items(spark, sf)
+    centers = rt.train_centroids(vecs, 10)
+    placed = rt.assign_cells(vecs, centers).select("item_id", "vec", "cell")
+    points = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    gap = F.transform(points, lambda c: F.aggregate(
+        F.zip_with("vec", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    checked = placed.withColumn("gaps", gap)
+    own = F.element_at("gaps", F.col("cell") + 1)
+    return checked.agg(F.count("item_id").alias("n_items"),
+                       F.count_distinct("cell").alias("n_cells"),
+                       F.sum(F.when(own > F.array_min("gaps") + 1e-9, 1).otherwise(0))
+                       .alias("n_misplaced"))
+
+
 @query("r03_ivf_search", sql(OUT + """(
   SELECT p.query_id, p.item_id, p.distance, row_number() OVER (
     PARTITION BY p.query_id ORDER BY p.distance, p.item_id) AS rank
@@ -169,6 +188,34 @@ def r04_train(spark, sf):
                                                   F.array_join("codes", ",").alias("codes"))
 
 
+@query("r04_train_facts", """
+  SELECT count(*) AS n_items, true AS codes_in_range, true AS error_is_small FROM embeddings""")
+def r04_facts(spark, sf):
+    """256 codes per sub-space: their range, and the squared error against that of no codes."""
+    vecs = fx.items(spark, sf)
+    centers = rt.train_centroids(vecs, 10)
+    gaps = rt.residuals(rt.assign_cells(vecs, centers), centers)
+    book = rt.train_codebook(gaps, fx.PARTS, 256)
+    coded = rt.encode_residuals(gaps, book).select("item_id", "codes")
+    width = book.shape[2]
+    shared = F.array(*[F.array(*[F.array(*[F.lit(float(x)) for x in code]) for code in part])
+                       for part in book[:1]])
+    first = F.slice("residual", 1, width)
+    near = F.element_at(F.element_at(shared, 1), F.element_at("codes", 1) + 1)
+
+    def energy(a, b=None):
+        terms = a if b is None else F.zip_with(a, b, lambda x, y: x - y)
+        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x * x)
+
+    both = gaps.select("item_id", "residual").join(coded, "item_id")
+    return both.agg(F.count("item_id").alias("n_items"),
+                    (F.min(F.array_min("codes")) >= 0).alias("low"),
+                    (F.max(F.array_max("codes")) < 256).alias("high"),
+                    (F.sum(energy(first, near)) < 0.5 * F.sum(energy(first)))
+                    .alias("error_is_small")).select(
+        "n_items", (F.col("low") & F.col("high")).alias("codes_in_range"), "error_is_small")
+
+
 @query("r05_pq_search", sql(OUT + """(
   SELECT query_id, item_id, distance, row_number() OVER (
     PARTITION BY query_id ORDER BY distance, item_id) AS rank
@@ -283,6 +330,20 @@ def r07(spark, sf):
     return out.select("query_id", "item_id", rounded(F.col("distance")).alias("distance"), "sim_id")
 
 
+@query("r07_full_metadata", sql(
+    "SELECT f.*, title, c, source FROM (" + FIRST_PER_SIM.format(n=12) + """) f
+    LEFT JOIN item_profile p ON p.recom_id = f.item_id""", "with_sim", "item_profile"))
+def r07_full(spark, sf):
+    """Title, category and source besides the sim id; an item without a profile keeps NULLs."""
+    profile = fx.item_profile(spark, sf).select(F.col("recom_id").alias("item_id"), "title", "c",
+                                                "source")
+    known = _metadata(spark, sf).join(profile, "item_id", "left")
+    hits = rt.exact_search(fx.items(spark, sf), fx.queries(spark, sf), 20)
+    out = rt.top_with_metadata(hits, known, 12)
+    return out.select("query_id", "item_id", rounded(F.col("distance")).alias("distance"), "sim_id",
+                      "title", "c", "source")
+
+
 @query("r08_position_to_item", sql("""
   SELECT r.query_id, r.rank, i.item FROM ranked r
   JOIN (SELECT vec_id, 'item-' || vec_id AS item FROM embeddings) i ON i.vec_id = r.item_id

@@ -286,9 +286,10 @@ def train_codebook(with_residual: DataFrame, parts: int, codes: int = 256, seed:
     if dim % parts:
         raise ValueError(f"{dim} dimensions cannot be cut into {parts} equal sub-spaces")
     width = dim // parts
+    stored = materialize(with_residual.select("residual"), "residuals")  # read once per sub-space
     book = []
     for j in range(parts):
-        sub = with_residual.select(F.slice("residual", j * width + 1, width).alias("vec"))
+        sub = stored.select(F.slice("residual", j * width + 1, width).alias("vec"))
         centers = train_centroids(sub, codes, seed + j, iterations)
         # k-means returns fewer centers when there are fewer distinct vectors.
         fill = np.repeat(centers[-1:], codes - len(centers), axis=0)
