@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from clickweave.catalog import fixtures as fx
-from clickweave.catalog.registry import query, sql, view
+from clickweave.catalog.registry import query, sql, view, view_of
 from clickweave.catalog.sampling import prepared
 from clickweave.functions.arrays import dot, pad_post, rounded
 from clickweave.functions.hashing import portable_hash
@@ -38,22 +40,31 @@ view("pooled", """
 view("target", """
   SELECT row_id, d, v FROM ts JOIN emb_item ON idx = item_id""", "ts", "emb_item")
 
-_ROWS: dict[tuple[str, str], tuple] = {}
+_ROWS: dict[tuple[str, str, str], tuple] = {}
+#: Samples of the same user are told apart by their place in the user's history.
+SAMPLE_ID = 1_000_000
+
 
+def _inputs(spark, sf, part="test"):
+    """Rows, embedding table and vocabulary sizes; written once per session and folder.
 
-def _inputs(spark, sf):
-    """Test rows, embedding table and vocabulary sizes; written once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    ``part``: "test" rows, the last of each user, are those that vectors are made for;
+    "train" rows are those that a loss belongs to; "all" are both.
+    """
+    key = (spark.sparkContext.applicationId, sf, part)
     if key not in _ROWS:
         p = prepared(spark, sf)
-        rows = sm.test_rows(p.samples)
+        chosen = {"test": F.col("is_test"), "train": ~F.col("is_test"), "all": F.lit(True)}[part]
+        rows = p.samples.where(chosen)
+        row_id = F.col("user_id") if part == "test" else (
+            F.col("user_id") * SAMPLE_ID + F.col("pos"))
         weight = F.transform(F.sequence(F.lit(0), F.lit(LENGTH - 1)), lambda i: (
             F.pmod(portable_hash(F.concat_ws(":", F.lit("w"), F.col("user_id").cast("string"),
                                              i.cast("string"))), F.lit(1000)) / F.lit(1000.0)
         ).cast("float"))
         padded = pad_post(F.col("hist"), LENGTH)
         rows = rows.select(
-            F.col("user_id").alias("row_id"), F.col("user_id").cast("int").alias("user_id"),
+            row_id.cast("bigint").alias("row_id"), F.col("user_id").cast("int").alias("user_id"),
             F.col("item_id").cast("int").alias("item_id"), padded.alias("hist_item_id"),
             F.col("hist_len").cast("int").alias("hist_len"), weight.alias("hist_weight"),
             F.slice(padded, 1, RECENT).alias("recent_ids"),
@@ -303,8 +314,8 @@ def m09(spark, sf):
                       rounded(F.col("readrate")).alias("readrate"))
 
 
-def _pooled_and_target(spark, sf):
-    rows, emb, sizes = _inputs(spark, sf)
+def _pooled_and_target(spark, sf, part="test"):
+    rows, emb, sizes = _inputs(spark, sf, part)
     pooled = ft.pool_feature(rows, emb, _history(sizes))
     target = ft.lookup(rows, emb, ft.SparseFeature("item_id", sizes["item_id"], DIM))
     return target.select("row_id", "item_id", "hist_len", "item_id_vec").join(pooled, "row_id")
@@ -345,9 +356,9 @@ view("strange", f"""
     AS item FROM ts""", "ts")
 
 
-def _losses(spark, sf):
-    _, emb, sizes = _inputs(spark, sf)
-    rows = _pooled_and_target(spark, sf).withColumnRenamed("hist_item_id_vec", "user_vec")
+def _losses(spark, sf, part="test"):
+    _, emb, sizes = _inputs(spark, sf, part)
+    rows = _pooled_and_target(spark, sf, part).withColumnRenamed("hist_item_id_vec", "user_vec")
     table = emb.where("embedding_name = 'item_id'").select(F.col("idx").alias("item_id"), "vec")
     return it.sampled_softmax(rows, table, sizes["item_id"])
 
@@ -358,6 +369,53 @@ def m11(spark, sf):
     return _losses(spark, sf).withColumn("loss", rounded(F.col("loss")))
 
 
+def of_samples(text: str, part: str) -> str:
+    """A piece of SQL on test rows, for the samples of another part."""
+    return re.sub(r"\b(ts|seq|seqv|pooled|target|losses)\b", rf"\1_{part}", text)
+
+
+for _part, _which in (("train", "NOT is_test"), ("all", "true")):
+    view(f"ts_{_part}", f"""
+      SELECT user_id * {SAMPLE_ID} + pos AS row_id, item_id, hist, hist_len FROM samples
+      WHERE {_which}""", "samples")
+    for _name in ("seq", "seqv", "pooled", "target", "losses"):
+        _needs, _text = view_of(_name)
+        view(f"{_name}_{_part}", of_samples(_text, _part), *[of_samples(n, _part) for n in _needs])
+
+
+@query("m11_mean_loss_train", sql(
+    "SELECT round(avg(loss), 6) + 0.0 AS loss, count(*) AS n_rows FROM losses_train",
+    "losses_train"))
+def m11_train(spark, sf):
+    """The loss over the rows that a model is trained on."""
+    return _losses(spark, sf, "train").agg(rounded(F.avg("loss")).alias("loss"),
+                                           F.count("loss").alias("n_rows"))
+
+
+@query("m04_lookup_all", sql(f"SELECT row_id, {CELL} FROM target_all", "target_all"))
+def m04_all(spark, sf):
+    rows, emb, sizes = _inputs(spark, sf, "all")
+    out = ft.lookup(rows, emb, ft.SparseFeature("item_id", sizes["item_id"], DIM))
+    return _flat(out, ["row_id"], "item_id_vec")
+
+
+@query("m06_masked_pooling_all", sql("""
+  SELECT row_id, d AS dim, round(m, 6) + 0.0 AS value
+  FROM (SELECT row_id, d, max(v) AS m FROM seqv_all GROUP BY row_id, d) g""", "seqv_all"))
+def m06_all(spark, sf):
+    rows, emb, sizes = _inputs(spark, sf, "all")
+    return _flat(ft.pool_feature(rows, emb, _history(sizes, "max")), ["row_id"], "hist_item_id_vec")
+
+
+@query("m10_elementwise_pooling_all", sql("""
+  SELECT row_id, d AS dim, round((p.v + t.v) / 2, 6) + 0.0 AS value
+  FROM pooled_all p JOIN target_all t USING (row_id, d)""", "pooled_all", "target_all"))
+def m10_all(spark, sf):
+    both = _pooled_and_target(spark, sf, "all")
+    both = ft.pool_columns(both, ["hist_item_id_vec", "item_id_vec"], "mean", "mean")
+    return _flat(both, ["row_id"], "mean")
+
+
 @query("m11_sampled_softmax_unknown", sql(f"""
   SELECT row_id, round(ln(sum(exp(logit))) - max(CASE WHEN own THEN logit END), 6) + 0.0 AS loss
   FROM (

@@ -35,6 +35,11 @@ def view(name: str, text: str, *needs: str) -> None:
     _VIEWS[name] = (needs, text)
 
 
+def view_of(name: str) -> tuple[tuple[str, ...], str]:
+    """(names it needs, text) of a piece of SQL."""
+    return _VIEWS[name]
+
+
 def sql(body: str, *needs: str) -> str:
     """``body`` with the named views, and theirs, in front of it."""
     order: list[str] = []
