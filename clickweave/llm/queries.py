@@ -90,7 +90,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("first_id").alias("first_doc_id"))
 
 
-@query("op6_jaccard_prefix_join")
+@query("op6_jaccard_prefix_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w) t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents
+  UNION
+  SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id
+GROUP BY d.doc_id, n.n""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (jaccard_components(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id"))
