@@ -124,7 +124,7 @@ def p05(spark, sf):
 W01 = """
   SELECT uid, id, ctime, pos, array_to_string(list_reverse(hist), ',') AS hist FROM (
     SELECT uid, id, ctime, row_number() OVER w - 1 AS pos,
-      list(id) OVER (PARTITION BY uid ORDER BY ctime, id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)
+      list(id) OVER (PARTITION BY uid ORDER BY ctime, id ROWS BETWEEN 64 PRECEDING AND 1 PRECEDING)
         AS hist
     FROM clicks_b WINDOW w AS (PARTITION BY uid ORDER BY ctime, id)) t"""
 
@@ -133,7 +133,7 @@ W01 = """
                                              "coalesce(array_to_string(list_reverse(hist), ','), '')"),
                                  "clicks_b"))
 def w01(spark, sf):
-    out = with_history(fx.clicks_b(spark, sf), "uid", ["ctime", "id"], "id", 10)
+    out = with_history(fx.clicks_b(spark, sf), "uid", ["ctime", "id"], "id", fx.LENGTH)
     return _joined(out, "hist").select("uid", "id", "ctime", "pos", "hist")
 
 
@@ -147,30 +147,30 @@ def w02(spark, sf):
 
 @query("t07_reverse_list", sql("""
   SELECT user_id, pos, array_to_string(list_reverse(hist), ',') AS oldest_first
-  FROM samples WHERE is_test""", "samples"))
+  FROM samples""", "samples"))
 def t07(spark, sf):
-    return (sm.test_rows(prepared(spark, sf).samples)
+    return (prepared(spark, sf).samples
             .select("user_id", "pos", F.array_join(F.reverse("hist"), ",").alias("oldest_first")))
 
 
 @query("t08_pad_truncate", sql("""
-  SELECT user_id, pos, array_to_string(list_concat(hist[1:10],
-      list_transform(range(0, 10 - len(hist[1:10])), lambda x: 0)), ',') AS padded
-  FROM samples WHERE is_test""", "samples"))
+  SELECT user_id, pos, array_to_string(list_concat(hist,
+      list_transform(range(0, 64 - len(hist)), lambda x: 0)), ',') AS padded
+  FROM samples""", "samples"))
 def t08(spark, sf):
-    rows = sm.test_rows(prepared(spark, sf).samples)
+    rows = prepared(spark, sf).samples
     return rows.select("user_id", "pos",
-                       F.array_join(pad_post(F.col("hist"), 10), ",").alias("padded"))
+                       F.array_join(pad_post(F.col("hist"), fx.LENGTH), ",").alias("padded"))
 
 
 @query("d04_overlap", sql("""
-  SELECT user_id, len(list_distinct(list_filter(hist[1:10],
+  SELECT user_id, pos, len(list_distinct(list_filter(hist[1:10],
       lambda x: list_contains(hist[11:64], x)))) AS n_both
-  FROM samples WHERE is_test""", "samples"))
+  FROM samples""", "samples"))
 def d04(spark, sf):
-    rows = sm.test_rows(prepared(spark, sf).samples)
+    rows = prepared(spark, sf).samples
     both = overlap(F.slice("hist", 1, 10), F.slice("hist", 11, 54))
-    return rows.select("user_id", both.cast("bigint").alias("n_both"))
+    return rows.select("user_id", "pos", both.cast("bigint").alias("n_both"))
 
 
 SAMPLE_SQL = "SELECT user_id, item_id, label, array_to_string(hist, ',') AS hist, hist_len, pos"
