@@ -18,7 +18,8 @@ cost one row each. Then, without losing a link:
    another component than the leader with all others. A large group of near copies
    so costs about a pair per member, not one for each two members.
 4. Verification, once per pair: the suffix filter (both sets are split at the same
-   hashes; the sizes of the parts bound the overlap), then the exact overlap.
+   hashes; the sizes of the parts, a few bytes per class, bound the overlap), then
+   the exact overlap for the pairs that pass.
 
 N-grams are compared as 64-bit hashes.
 
@@ -48,7 +49,9 @@ WORDS = 5
 #: Counters of the rarity table.
 BUCKET_BITS = 18
 SEEN = 200_000
-PIVOTS = (np.arange(1, 32, dtype=np.uint64) << U64(59))
+#: Parts of the suffix filter.
+PARTS = 256
+PIVOTS = np.arange(1, PARTS, dtype=np.uint64) << U64(56)
 
 
 def need_of(n: int) -> int:
@@ -194,37 +197,81 @@ def _may_link(n: Column, i: Column, m: Column, j: Column) -> Column:
             & (F.least(n - i, m - j) >= need))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def part_sizes(grams: np.ndarray) -> np.ndarray:
+    """Sizes of the parts into which fixed hashes split a sorted set, at most 255 each."""
+    ends = np.searchsorted(grams, PIVOTS)
+    return np.minimum(np.diff(np.concatenate([[0], ends, [len(grams)]])), 255).astype(np.uint8)
+
+
+def _part_table(sets: DataFrame) -> DataFrame:
+    """(cls, n, parts): what the suffix filter needs of each set; PARTS bytes a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [part_sizes(x.values.to_numpy(zero_copy_only=False).view(U64)).tobytes()
+                     for x in column(batch, "grams")]
+            yield record_batch({"cls": (column(batch, "cls"), None), "n": (column(batch, "n"), None),
+                                "parts": (parts, pa.binary())})
+
+    return materialize(sets.mapInArrow(run, "cls long, n long, parts binary"), "parts")
+
+
+def _side(table: DataFrame, name: str, value: str) -> DataFrame:
+    """One side of a pair. Pairs and sets both grow with the data, so they are joined
+    alike at every size."""
+    renamed = {"cls": name, value: f"{value}_{name}", "n": f"n_{name}"}
+    return table.withColumnsRenamed(renamed).hint("merge")
+
+
+def suffix_filter(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose parts don't differ too much in size.
+
+    Sets that overlap by ``need`` differ in at most n + m - 2 * need elements, and
+    in no fewer than the sum of the differences of their parts' sizes.
+    """
+    met = (pairs.join(_side(parts, "b", "parts"), "b").join(_side(parts, "a", "parts"), "a")
+           .select("a", "b", "n_a", "n_b", "parts_a", "parts_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(column(batch, f"parts_{x}").to_pylist()), np.uint8)
+                    .reshape(batch.num_rows, PARTS).astype(np.int64) for x in "ab")
+            both = column(batch, "n_a").to_numpy() + column(batch, "n_b").to_numpy()
+            good = np.abs(a - b).sum(axis=1) <= both - 2 * -(-4 * both // 9)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return met.mapInArrow(run, "a long, b long")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose sets overlap by 0.8 or more."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    few = skew_join(sets.select("cls", "grams"), materialize(wanted, "wanted"), ["cls"],
-                    "left_semi")
-    few = materialize(few, "sets")
-    met = (pairs.join(few.select(F.col("cls").alias("b"), F.col("grams").alias("right")), "b")
-           .join(few.select(F.col("cls").alias("a"), F.col("grams").alias("left")), "a"))
+    close = materialize(suffix_filter(pairs, parts), "close")
+    wanted = close.select(F.col("a").alias("cls")).union(close.select("b")).distinct()
+    few = materialize(skew_join(sets.select("cls", "grams"), materialize(wanted, "wanted"), ["cls"],
+                                "left_semi"), "sets")
+    met = (close.join(_side(few, "b", "grams"), "b").join(_side(few, "a", "grams"), "a")
+           .select("a", "b", "grams_a", "grams_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for a, b in zip(column(batch, "left"), column(batch, "right")):
-                good.append(_linked(*(x.values.to_numpy(zero_copy_only=False).view(U64)
-                                      for x in (a, b))))
+            good = [_linked(*(x.values.to_numpy(zero_copy_only=False).view(U64) for x in pair))
+                    for pair in zip(column(batch, "grams_a"), column(batch, "grams_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return met.mapInArrow(run, "a long, b long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Two sorted sets: suffix filter on the parts between pivots, then the overlap itself."""
+    """Do two sorted sets overlap by 0.8 or more?"""
     need = -(-4 * (len(a) + len(b)) // 9)
-    parts = [np.diff(np.concatenate([[0], np.searchsorted(x, PIVOTS), [len(x)]])) for x in (a, b)]
-    if np.minimum(*parts).sum() < need:
-        return False
     return len(np.intersect1d(a, b, assume_unique=True)) >= need
 
 
 def _links(sets: DataFrame) -> DataFrame:
     """(a, b): links between classes that leave no two linked classes unconnected."""
+    parts = _part_table(sets)
     prefixes = materialize(_prefixes(sets, _rarity(sets)), "prefixes")
     buckets = (prefixes.groupBy("gram")
                .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("pos", "cls", "n")).alias("l"))
@@ -236,7 +283,7 @@ def _links(sets: DataFrame) -> DataFrame:
     led = (members.where(_may_link(F.col("n"), F.col("pos"), F.col("leader_n"),
                                    F.col("leader_pos")))
            .select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct())
-    links = materialize(_verify(materialize(led, "pairs"), sets), "links")
+    links = materialize(_verify(materialize(led, "pairs"), sets, parts), "links")
 
     labels = components(links)
 
@@ -258,7 +305,7 @@ def _links(sets: DataFrame) -> DataFrame:
     rest = materialize(rest, "pairs")
     if rest.isEmpty():
         return links
-    return links.union(_verify(rest, sets))
+    return links.union(_verify(rest, sets, parts))
 
 
 def _components(rows: DataFrame) -> DataFrame:
