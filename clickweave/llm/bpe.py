@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
@@ -31,6 +32,7 @@ from clickweave.llm.common import WordCache, column, map_batches, record_batch,
 
 #: Symbols up to which looking at all pairs after each merge beats a heap.
 SHORT = 64
+PRINTABLE = re.compile(rb"[!-~]+").fullmatch
 
 
 class Codec:
@@ -54,9 +56,29 @@ class Codec:
         self.inside = {t[i:i + 2] for t in bodies for i in range(len(t) - 1)}
         self._split_special = re.compile(
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.has_special = re.compile("|".join(map(re.escape, self.special)).encode()).search
+        self.split_plain = self._plain_splitter(json.loads(definition))
         self.no_merge = (len(self.merges), -1)
         self.words, self.pre_tokens = WordCache(self._word), WordCache(self._pre_token)
 
+    @staticmethod
+    def _plain_splitter(definition: dict):
+        """The file's own pattern, for words of printable ASCII.
+
+        Such a word is its own canonical form and its own byte-level spelling, so
+        it takes lower-casing and the pattern alone; None when the file does more.
+        """
+        normal, split = definition["normalizer"], definition["pre_tokenizer"]
+        steps = [s["type"] for s in (normal or {}).get("normalizers", [])]
+        parts = (split or {}).get("pretokenizers", [])
+        if (steps == ["NFC", "Replace", "Lowercase"]
+                and normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+                and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+                and parts[0]["behavior"] == "Removed" and parts[0]["invert"]
+                and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"]):
+            return regex.compile(parts[0]["pattern"]["Regex"]).findall
+        return None
+
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.words.__getitem__, text.split()))
@@ -66,6 +88,9 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def _word(self, word: bytes) -> bytes:
+        if self.split_plain and PRINTABLE(word) and not self.has_special(word):
+            found = self.split_plain(word.decode().lower())
+            return b"".join(map(self.pre_tokens.__getitem__, found))
         out = []
         for part in self._split_special.split(word.decode("utf-8", "replace")):
             if part in self.special:
