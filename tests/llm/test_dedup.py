@@ -149,3 +149,16 @@ def test_repeated_passages_are_found_and_cut_out(spark):
     assert new[4][0] and not new[5][0].split() and new[5][0] == new[5][1]
     assert chunk_dedup.repeated_spans(empty(spark)).count() == 0
     assert chunk_dedup.drop_repeated(empty(spark)).count() == 0
+
+
+def test_part_sizes_never_rule_out_a_link():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 40, 300, 70_000):
+        base = np.unique(rng.integers(0, 2**64, n + n // 4 + 1, dtype=np.uint64))
+        a, b = (np.sort(rng.choice(base, n, replace=False)) for _ in range(2))
+        both = len(a) + len(b)
+        apart = np.abs(jaccard_join.part_sizes(a).astype(int) - jaccard_join.part_sizes(b)).sum()
+        assert apart <= both - 2 * len(np.intersect1d(a, b))
+        if jaccard_join._linked(a, b):
+            assert apart <= both - 2 * -(-4 * both // 9)
