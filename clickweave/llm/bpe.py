@@ -32,6 +32,8 @@ from clickweave.llm.common import WordCache, column, map_batches, record_batch,
 
 #: Symbols up to which looking at all pairs after each merge beats a heap.
 SHORT = 64
+#: Words whose ids a task remembers, about 200 bytes each.
+WORDS_KEPT = 600_000
 PRINTABLE = re.compile(rb"[!-~]+").fullmatch
 
 
@@ -59,7 +61,8 @@ class Codec:
         self.has_special = re.compile("|".join(map(re.escape, self.special)).encode()).search
         self.split_plain = self._plain_splitter(json.loads(definition))
         self.no_merge = (len(self.merges), -1)
-        self.words, self.pre_tokens = WordCache(self._word), WordCache(self._pre_token)
+        self.words = WordCache(self._word, WORDS_KEPT)
+        self.pre_tokens = WordCache(self._pre_token, WORDS_KEPT // 2)
 
     @staticmethod
     def _plain_splitter(definition: dict):
