@@ -2,12 +2,12 @@
 
 Each template is a run of words with the place of every word (its postings) and
 the phrases that must stand in it. The corpus says how rare each licence word is
-(inverse document frequency over all rows). A file's rarest licence words are
-looked up in the postings; every posting proposes a start of its template in the
-file, proposals for the same start are the intersection by relative position, and
-a template is found where enough of its words agree and all its mandatory phrases
-stand in their place. Each base phrase is looked up by its rarest word wherever
-that occurs, so that all its places are found.
+(inverse document frequency over all rows). Each template is looked up by the
+rarest word of its mandatory phrases: that word stands wherever the template does,
+so its postings propose every start of the template in the file, however many
+notices the file has. A template is found where enough of its words agree and all
+its mandatory phrases stand in their place. Each base phrase is looked up by its
+rarest word, too, so that all its places are found.
 
 Only built-in column functions are used. A row is scanned where it lies: no join
 and no shuffle but the count of documents per licence word, whose groups are the
@@ -92,7 +92,6 @@ TEMPLATES = (
 #: Words that say nothing by themselves are no entries of the index.
 COMMON = frozenset("the a of to in and or by is any for with under this are use on 0 1 2 3 4 v "
                    "version terms subject free".split())
-LOOKED_UP = 4
 
 
 def words_of(text: Column) -> Column:
@@ -130,23 +129,26 @@ def phrase_places(tokens: Column, occurrences: Column, words: Sequence[str],
     return F.filter(starts, lambda s: (s >= 0) & stands_at(tokens, s, words))
 
 
+def mandatory(template: Template) -> list[tuple[str, int]]:
+    """(word, place in the template) of the phrases' words that may be looked up."""
+    found = [(w, at + i) for at, part in template.places() for i, w in enumerate(part)]
+    return [(w, p) for w, p in found if w not in COMMON] or found
+
+
+def anchor(template: Template, rarity: dict[str, float]) -> tuple[str, int]:
+    """The rarest word of the mandatory phrases and its place in the template."""
+    return max(mandatory(template), key=lambda wp: (rarity[wp[0]], -wp[1]))
+
+
 def template_scores(tokens: Column, looked_up: Column, template: Template,
                     rarity: dict[str, float]) -> Column:
     """For each start that passes, the share of the template's weight that agrees.
 
-    ``looked_up`` are the occurrences of the file's rarest licence words. A start
-    that several of them propose is one candidate.
+    ``looked_up`` are the occurrences of all templates' anchors.
     """
-    words, postings = template.words, {}
-    for i, w in enumerate(template.words):
-        if w not in COMMON:
-            postings.setdefault(w, []).append(i)
-
-    def proposed(word: str, place: int) -> Column:
-        return F.transform(F.filter(looked_up, lambda o: o["w"] == word), lambda o: o["i"] - place)
-
-    proposals = [proposed(w, p) for w, places in postings.items() for p in places]
-    starts = F.array_distinct(F.concat(*proposals))
+    words = template.words
+    word, place = anchor(template, rarity)
+    starts = F.transform(F.filter(looked_up, lambda o: o["w"] == word), lambda o: o["i"] - place)
     weight = {w: max(rarity.get(w, 0.0), 0.1) for w in words}
     whole = sum(weight[w] for w in words)
 
@@ -162,15 +164,15 @@ def template_scores(tokens: Column, looked_up: Column, template: Template,
 
 
 def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
-                 looked_up: int = LOOKED_UP, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score)."""
     rows = texts(docs, id_col, text_col)
     phrases = [(p.split(), label) for p, label in BASE]
     known = sorted({w for p, _ in phrases for w in p}
-                   | {w for t in templates for w in t.words if w not in COMMON})
+                   | {w for t in templates for w in t.words if w not in COMMON}
+                   | {w for t in templates for w, _ in mandatory(t)})
     rarity = idf(rows, known)
-    ranked = sorted(known, key=lambda w: (-rarity[w], w))
+    anchors = sorted({anchor(t, rarity)[0] for t in templates})
     empty = F.array().cast("array<struct<i:int,w:string>>")
 
     tokens = F.col("tokens")
@@ -181,11 +183,8 @@ def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
                            lambda o: F.array_contains(F.col("present"), o["w"]))
     rows = rows.withColumn("occurrences", F.when(F.size("present") > 0, occurrences)
                            .otherwise(empty))
-    rarest = F.slice(F.array_intersect(strings([w for w in ranked if w not in COMMON]),
-                                       F.col("present")), 1, looked_up)
-    rows = rows.withColumn("rare", F.when(F.size("present") > 0, rarest))
     rows = rows.withColumn("looked_up", F.filter("occurrences", lambda o:
-                                                 F.array_contains(F.col("rare"), o["w"])))
+                                                 F.array_contains(strings(anchors), o["w"])))
     some = F.size("present") > 0
 
     def guarded(value: Column, kind: str) -> Column:

@@ -155,3 +155,21 @@ def test_license_scan_against_brute_force(spark):
     assert license_scan.license_scan(empty(spark)).count() == 0
     plan = license_scan.license_scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_license_scan_finds_every_notice_of_a_text(spark):
+    base = {"gpl-3.0": "gpl", "gpl-2.0": "gpl", "apache-2.0": "apache", "cc-by-4.0": "cc-by",
+            "cc-by-nc-4.0": "cc-by", "cc-by-sa-4.0": "cc-by"}
+    all_of_them, rng = list(license_scan.TEMPLATES), random.Random(10)
+    long_mit = next(t for t in all_of_them if t.text.startswith("permission is hereby"))
+    groups = [[long_mit] + [t for t in all_of_them if t.label == "apache-2.0"],
+              [long_mit] + [t for t in all_of_them if t.label == "gpl-3.0"], all_of_them]
+    groups += [rng.sample(all_of_them, 3 + n % 4) for n in range(20)]
+    texts, want = [], {}
+    for i, group in enumerate(groups):
+        texts.append((i, prose(i, 9) + " " + " ".join(f"{t.text}. {prose(i, 5)}" for t in group)))
+        labels = {t.label for t in group}
+        want[i] = ",".join(sorted(labels | {base[x] for x in labels & set(base)}))
+    got = license_scan.license_scan(frame(spark, texts)).collect()
+    assert {r.doc_id: r.labels for r in got} == want
+    assert all(r.score == pytest.approx(1.0) for r in got)
