@@ -1,7 +1,9 @@
 """Quality rules, classifier, decontamination, licence scan."""
 
+import base64
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -42,6 +44,38 @@ def test_bands_reject_repetition_and_noise(spark):
     assert not any(r.kept for r in compression.compression_rules(frame(spark, [(2, noise)]), bands).collect())
 
 
+def test_default_bands_tell_noise_from_prose_at_every_length(spark):
+    rng = random.Random(14)
+    letters = string.ascii_letters + string.digits
+    printable = "".join(map(chr, range(33, 127)))
+
+    def words(alphabet, low, high):
+        return " ".join("".join(rng.choices(alphabet, k=rng.randint(low, high))) for _ in range(30_000))
+
+    ideographs = [chr(c) for c in range(0x4E00, 0x9FFF)]
+    # Letters as frequent as in a real text, in syllables of a few thousand signs.
+    usual = rng.choices(ideographs, [1 / (i + 3) for i in range(len(ideographs))], k=60_000)
+    noise = {"base64": base64.encodebytes(rng.randbytes(150_000)).decode().replace("\n", " "),
+             "base64 words": " ".join(base64.b64encode(rng.randbytes(6)).decode() for _ in range(20_000)),
+             "letters": words(letters, 3, 10), "printable": words(printable, 3, 10)}
+    bands, packer = compression.Bands(), compression.zstandard.ZstdCompressor(level=3)
+
+    def holds(text):
+        return bands.holds(text.encode(), len(packer.compress(text.encode())))
+
+    for size in (256, 400, 600, 800, 1_100, 2_000, 4_096, 9_000, 20_000, 70_000):
+        assert not [name for name, text in noise.items() if holds(text[:size])], size
+        assert holds(prose(size, size)[:size])
+        assert holds("".join(usual)[:size // 3])
+        if size >= 4_096:
+            assert not holds(words(ideographs, 40, 40)[:size // 3 + 100])
+    wide = words(ideographs, 40, 40)[:3_280]
+    texts = [(1, prose(1, 400)), (2, wide), (3, noise["letters"][:600]), (4, noise["base64 words"][:9_000]),
+             (5, " ".join("".join(usual[i:i + 9]) for i in range(0, 3_000, 9)))]
+    kept = {r.doc_id: r.kept for r in compression.compression_rules(frame(spark, texts)).collect()}
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: True}
+
+
 def test_rules_keep_columns_and_empty_tables(spark):
     docs = frame(spark, odd())
     kept = compression.keep_documents(docs)
