@@ -6,17 +6,20 @@ words under a mask are hashed at every place of the test items and of the traini
 texts and joined on the hash. Around each hit, text and item are laid on each other
 and compared word by word; a passage counts when, in some window of ``window``
 words (or the whole item, if shorter), at least ``share`` of the words agree. The
-three masks hit every window of 8 to 13 words in which that share agrees.
+three masks hit every window of 8 to 13 words in which that share agrees. Items of
+fewer than 8 words are found where all their words stand one after the other, by
+one hash of the whole item.
 
 The items are taken in blocks of at most ``block_words`` words. A block's hashes go
 to every task, and each block meets every row of the training table, so neither
 its size nor the table's is limited and nothing is shuffled.
 
 Words are split at white space, lower-cased, without punctuation at their ends.
-Defined results: null and empty texts and items have no words; items of fewer than
-8 words can't be told from chance and never match; ids may be null or repeat; an
-empty benchmark matches nothing; other columns are ignored by
-:func:`contamination` and kept by :func:`drop_contaminated`.
+Defined results: null and empty texts and items have no words and match nothing;
+items of fewer than 8 words are reported by :func:`contamination`, but can't be told
+from chance, so :func:`drop_contaminated` drops for items of ``drop_words`` (8) words
+and more; ids may be null or repeat; an empty benchmark matches nothing; other
+columns are ignored by :func:`contamination` and kept by :func:`drop_contaminated`.
 """
 
 from __future__ import annotations
@@ -44,6 +47,7 @@ class Rule:
     window: int = 13
     share: float = 0.8
     block_words: int = 500_000
+    drop_words: int = MIN_WORDS  # of an item, from which a text that holds it is dropped
 
 
 def bare_hash(word: bytes) -> int:
@@ -58,14 +62,19 @@ def word_hashes(text: bytes, cache: WordCache) -> np.ndarray:
 
 
 class Index:
-    """Seeds of a block of test items."""
+    """Seeds of a block of test items of at least ``min_words`` words, hashes of short ones."""
 
-    def __init__(self, ids: list, items: list[bytes]) -> None:
+    def __init__(self, ids: list, items: list[bytes], min_words: int = 1) -> None:
         cache = WordCache(bare_hash)
         self.ids, self.items, keys, owners, places = [], [], [], [], []
+        short: dict[int, dict[int, list]] = {}  # length, hash of all words, (id, words)
         for id_, text in zip(ids, items):
             words = word_hashes(text, cache)
+            if len(words) < max(1, min_words):
+                continue
             if len(words) < MIN_WORDS:
+                whole = int(self.wholes(words, len(words))[0])
+                short.setdefault(len(words), {}).setdefault(whole, []).append((id_, words))
                 continue
             for seed, mask in enumerate(MASKS):
                 found = window_hashes(words, mask, seed)
@@ -81,6 +90,27 @@ class Index:
         self.places = np.concatenate(places)[order] if keys else np.empty(0, np.int64)
         self.known = np.zeros(1 << TABLE_BITS, bool)
         self.known[self.keys >> U64(64 - TABLE_BITS)] = True
+        self.short = {n: (np.array(sorted(by), U64), by) for n, by in short.items()}
+
+    @staticmethod
+    def wholes(words: np.ndarray, n: int) -> np.ndarray:
+        """One hash for each run of ``n`` words."""
+        return window_hashes(words, tuple(range(n)), len(MASKS) + n)
+
+    def short_matches(self, words: np.ndarray) -> list[tuple]:
+        """(item id, first word, words, equal words) of the first place of each short item."""
+        found = []
+        for n, (keys, items) in self.short.items():
+            own = self.wholes(words, n)
+            if not len(own):
+                continue
+            near = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            at = np.nonzero(keys[near] == own)[0]
+            hits, first = np.unique(own[at], return_index=True)
+            for hit, place in zip(hits.tolist(), at[first].tolist()):
+                found += [(id_, place, n, n) for id_, item in items[hit]
+                          if np.array_equal(words[place:place + n], item)]
+        return found
 
     def diagonals(self, words: np.ndarray) -> set[tuple[int, int]]:
         """(item, place of its first word in the text) that some seed proposes."""
@@ -118,7 +148,7 @@ class Index:
                    int(sums[last] - sums[first]))
             if item not in best or (row[3], -row[1]) > (best[item][3], -best[item][1]):
                 best[item] = row
-        return list(best.values())
+        return list(best.values()) + self.short_matches(words)
 
 
 def blocks(items: DataFrame, rule: Rule) -> Iterator[tuple[list, list[bytes]]]:
@@ -167,12 +197,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(),
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(),
                       text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that no test item overlaps; no shuffle."""
+    """The rows of ``docs``, all columns, that no item of ``drop_words`` words overlaps; no shuffle."""
     spark = docs.sparkSession
     ship_package(spark)
     kept = docs
     for ids, items in blocks(texts(benchmark, item_col, item_text_col), rule):
-        shared = spark.sparkContext.broadcast(Index(ids, items))
+        shared = spark.sparkContext.broadcast(Index(ids, items, rule.drop_words))
 
         def run(batches, shared=shared):
             index, cache = shared.value, WordCache(bare_hash)

@@ -155,6 +155,23 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = [(n, " ".join(f"q{n}x{k}" for k in range(n))) for n in range(1, 8)]
+    items += [(20, items[4][1].upper() + "?"), (None, items[2][1]), (21, "... !"), (22, "")]
+    texts = [(n, f"{prose(n, 20)} {text.upper()}. {prose(n, 9)} {text}") for n, text in items[:7]]
+    texts += [(30 + n, prose(n, 9) + " " + " ".join(text.split()[:-1] + ["other"])) for n, text in items[1:7]]
+    texts += [(50, items[6][1]), (51, ""), (52, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, texts)
+    want = {(n, n, 20, n, n) for n in range(1, 8)} | {(5, 20, 20, 5, 5), (3, None, 20, 3, 3), (50, 7, 0, 7, 7)}
+    for rule in (decontaminate.Rule(), decontaminate.Rule(block_words=10)):
+        got = [tuple(r) for r in decontaminate.contamination(docs, bench, rule).collect()]
+        assert set(got) == want and len(got) == len(want)
+    assert decontaminate.drop_contaminated(docs, bench).count() == len(texts)
+    kept = decontaminate.drop_contaminated(docs, bench, decontaminate.Rule(drop_words=5))
+    assert {i for i, _ in texts} - {r.doc_id for r in kept.collect()} == {5, 6, 7, 50}
+
+
 def brute_base(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
