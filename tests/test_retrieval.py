@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from clickweave.catalog import vectors as catalog
 from clickweave.operators import evaluation as ev, retrieval as rt
 from clickweave.sources.clicklog import synthetic_vectors
-from tests.conftest import rows
+from tests.conftest import SMALL, rows
 
 DIM = 8
 
@@ -169,3 +170,17 @@ def test_synthetic_vectors_ignore_partitions(spark):
     a = rows(synthetic_vectors(ids.repartition(1), "id", 3))
     assert a == rows(synthetic_vectors(ids.repartition(7), "id", 3))
     assert all(0 <= v < 1.05 for _, vec in a for v in vec)
+
+
+@pytest.mark.parametrize("sub", [0, 3, 7])
+def test_train_facts_see_a_fault_in_any_sub_space(spark, monkeypatch, sub):
+    encode = rt.encode_residuals
+
+    def faulty(gaps, book):
+        coded = encode(gaps, book)
+        wrong = F.transform("codes", lambda c, i: F.when(i == sub, (c + 128) % 256).otherwise(c))
+        return coded.withColumn("codes", wrong.cast("array<int>"))
+
+    monkeypatch.setattr(rt, "encode_residuals", faulty)
+    facts = catalog.r04_facts(spark, SMALL).first()
+    assert facts.codes_in_range and not facts.error_is_small
