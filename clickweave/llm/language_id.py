@@ -15,16 +15,18 @@ and piece reach the driver, at most languages x vocabulary numbers.
 Defined results: null texts and texts without letters are ``und`` with score 0; so is
 every text when nothing was learned. A null id is held out with crc32 of an empty
 text deciding; null languages teach nothing; ties go to the language first in order;
-repeated rows are judged each on its own; a very long word is summed whole, in
-logarithms; other columns are ignored.
+repeated rows are judged each on its own; a very long word is summed whole; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,17 @@ from clickweave.session import materialize, ship_package
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 RUNS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+#: The same for lower-cased texts without code points above U+00FF.
+LATIN_RUNS = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+").findall
 #: Word counts a task gathers before it hands them on.
 COUNTED = 200_000
 #: Values of words' scores a task remembers, and the longest word among them.
 KEPT_VALUES, KEPT_BYTES = 2_000_000, 64
 #: Entries of the tables of words that are summed together.
-TABLE = 100_000
+TABLE = 200_000
+#: Pieces of up to 24 bytes times the least probability stay far from underflow.
+LONGEST, LEAST = 24, 1e-9
+BASE, SPREAD, SIEVE_BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 16
 
 
 @dataclass(frozen=True)
@@ -55,14 +62,24 @@ class Settings:
 
 
 def read_pieces(path: str) -> list[bytes]:
-    """The vocabulary's byte strings by rank, one ``base64 rank`` a line."""
+    """The vocabulary's byte strings by rank, one ``base64 rank`` a line, as far as they
+    can stand in a word, and all single bytes."""
     with open(path, "rb") as file:
         ranked = [line.split() for line in file if line.strip()]
-    return [base64.b64decode(p) for p, _ in sorted(ranked, key=lambda r: int(r[1]))]
+    every = [base64.b64decode(p) for p, _ in sorted(ranked, key=lambda r: int(r[1]))]
+    inside = re.compile(rb" ?[a-z\x80-\xff]*").fullmatch
+    single = [bytes([b]) for b in range(256)]
+    return single + [p for p in every if 1 < len(p) <= LONGEST and inside(p)]
 
 
 def letters(text: str) -> list[str]:
-    return RUNS(text.lower())
+    """Runs of letters and the marks on them, lower-cased."""
+    lower = text.lower()
+    try:
+        lower.encode("latin-1")
+    except UnicodeEncodeError:
+        return RUNS(lower)
+    return LATIN_RUNS(lower)
 
 
 def spelled(word: str) -> bytes:
@@ -70,20 +87,51 @@ def spelled(word: str) -> bytes:
 
 
 class Pieces:
-    """Sums over all segmentations of words, which are taken together by length."""
+    """Finds pieces in words, which are taken together by length.
+
+    Byte strings are compared as 64-bit numbers, a polynomial of their bytes per length.
+    """
 
     def __init__(self, pieces: list[bytes]) -> None:
-        self.index = {p: i for i, p in enumerate(pieces)}
-        self.longest = max(map(len, pieces), default=1)
         self.none = len(pieces)  # stands for a byte string that is no piece
+        self.longest = max(map(len, pieces), default=1)
+        self.known: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in range(1, self.longest + 1):
+            which = np.array([i for i, p in enumerate(pieces) if len(p) == n], np.int32)
+            letters_ = np.frombuffer(b"".join(pieces[i] for i in which), np.uint8).reshape(-1, n)
+            keys = np.zeros(len(which), np.uint64)
+            for i in range(n):
+                keys = keys * BASE + letters_[:, i] + np.uint64(1)
+            order = np.argsort(keys)
+            seen = np.zeros(1 << SIEVE_BITS, bool)
+            seen[self._slot(keys)] = True
+            self.known.append((keys[order], which[order], seen))
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys * SPREAD) >> np.uint64(64 - SIEVE_BITS)
 
     def table(self, words: list[bytes]) -> np.ndarray:
         """(word, end - 1, length - 1) -> the piece that ends there, for words of one length."""
-        n, get, none = len(words[0]), self.index.get, self.none
+        n = len(words[0])
         span = min(n, self.longest)
-        found = [get(w[j - m:j], none) if m <= j else none
-                 for w in words for j in range(1, n + 1) for m in range(1, span + 1)]
-        return np.array(found, np.int32).reshape(len(words), n, span)
+        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n).astype(np.uint64)
+        raw += np.uint64(1)
+        out = np.full((len(words), n, span), self.none, np.int32)
+        keys, power = np.zeros_like(raw), 1
+        for m in range(1, span + 1):
+            # The key of the m bytes up to each end, from that of the last m - 1 of them.
+            keys = keys[:, 1:] if m > 1 else keys
+            keys = keys + raw[:, :n - m + 1] * np.uint64(power)
+            power = power * int(BASE) % 2 ** 64
+            sorted_keys, which, seen = self.known[m - 1]
+            if len(sorted_keys):
+                row, col = np.nonzero(seen[self._slot(keys)])
+                asked = keys[row, col]
+                at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
+                hit = sorted_keys[at] == asked
+                out[row[hit], col[hit] + m - 1, m - 1] = which[at[hit]]
+        return out
 
     def by_length(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places in ``words``, their table), so many at a time that a table stays small."""
@@ -96,25 +144,29 @@ class Pieces:
                 yield part, self.table([words[i] for i in part])
 
 
-def forward(table: np.ndarray, log_chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithms of the sums up to every place, and of the steps that lead there.
+def forward(table: np.ndarray, chance: np.ndarray,
+            with_steps: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Logarithms of the words' probabilities, and the steps that lead to every place.
 
-    ``log_chance`` has a row per piece (the last one is -inf) and a column per language.
-    The steps into a place, (word, end - 1, length - 1, language), are probabilities:
-    how likely the last piece of a segmentation up to there is this one.
+    ``chance`` has a row per piece (the last one is 0) and a column per language. Sums are
+    kept relative to the place before, so that no word is too long. The steps into a
+    place, (word, end - 1, length - 1, language), are probabilities: how likely the last
+    piece of a segmentation up to there is this one.
     """
     words, n, span = table.shape
-    sums = np.zeros((words, n + 1, log_chance.shape[1]))
-    steps = np.zeros((words, n, span, log_chance.shape[1]))
+    width = chance.shape[1]
+    logs = np.zeros((words, width))
+    before = np.ones((words, 1, width))  # sums at the last places, the nearest first
+    steps = np.zeros((words, n, span, width)) if with_steps else None
     for j in range(1, n + 1):
-        m = min(j, span)
-        terms = sums[:, j - m:j][:, ::-1] + log_chance[table[:, j - 1, :m]]
-        top = terms.max(axis=1, keepdims=True)
-        terms = np.exp(terms - top)
+        m = before.shape[1]
+        terms = before * chance[table[:, j - 1, :m]]
         total = terms.sum(axis=1, keepdims=True)
-        sums[:, j] = (top + np.log(total))[:, 0]
-        steps[:, j - 1, :m] = terms / total
-    return sums, steps
+        logs += np.log(total[:, 0])
+        if steps is not None:
+            steps[:, j - 1, :m] = terms / total
+        before = np.concatenate([np.ones((words, 1, width)), before[:, :span - 1] / total], axis=1)
+    return logs, steps
 
 
 def expected(steps: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -179,9 +231,9 @@ class Model:
     chance: np.ndarray
     share: np.ndarray
 
-    def log_chance(self) -> np.ndarray:
-        """With a last row for what is no piece."""
-        return np.vstack([np.log(self.chance), np.full((1, len(self.languages)), -np.inf)])
+    def padded(self) -> np.ndarray:
+        """``chance`` with a last row for what is no piece."""
+        return np.vstack([np.maximum(self.chance, LEAST), np.zeros((1, len(self.languages)))])
 
 
 def _smoothed(counts: np.ndarray, s: Settings) -> np.ndarray:
@@ -199,17 +251,17 @@ def _expectation(words: DataFrame, model: Model) -> np.ndarray:
     shared = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, log_chance = Pieces(shared.value.pieces), shared.value.log_chance()
+        own, chance = Pieces(shared.value.pieces), shared.value.padded()
         place = {name: i for i, name in enumerate(shared.value.languages)}
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             at = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
             spellings, times = list(map(spelled, batch.column(1).to_pylist())), np.array(batch.column(2))
             for language in np.unique(at):
-                mine = total.setdefault(int(language), np.zeros(len(log_chance)))
+                mine = total.setdefault(int(language), np.zeros(len(chance)))
                 here = np.nonzero(at == language)[0]
                 for part, table in own.by_length([spellings[i] for i in here]):
-                    _, steps = forward(table, log_chance[:, language:language + 1])
+                    _, steps = forward(table, chance[:, language:language + 1], True)
                     taken = expected(steps[..., 0], times[here[part]])
                     mine += np.bincount(table.reshape(-1), taken.reshape(-1), len(mine))
         for language, mine in total.items():
@@ -230,9 +282,7 @@ def train(docs: DataFrame, path: str, settings: Settings = Settings(), id_col: s
     table = materialize(language_words(docs, id_col, text_col, lang_col), "language_words")
     sizes = {r["lang"]: r["n"] for r in table.where("word = ''").collect()}  # one row a language
     languages = sorted(sizes)
-    pieces = [*read_pieces(path)]
-    known = set(pieces)
-    pieces += [bytes([b]) for b in range(256) if bytes([b]) not in known]
+    pieces = read_pieces(path)
     share = np.log([(sizes[x] + 1) / (sum(sizes.values()) + len(sizes)) for x in languages])
     model = Model(languages, pieces, np.full((len(pieces), len(languages)), 1 / len(pieces)), share)
     words = table.where("word <> ''")
@@ -248,7 +298,7 @@ class Judge:
     """Scores texts; remembers the words it has met, within a bound."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.pieces, self.log_chance = model, Pieces(model.pieces), model.log_chance()
+        self.model, self.pieces, self.chance = model, Pieces(model.pieces), model.padded()
         width = max(1, len(model.languages))
         self.kept = np.zeros((max(1, KEPT_VALUES // width), width))
         self.places: dict[str, int] = {}
@@ -257,12 +307,12 @@ class Judge:
         """A row per word."""
         places, kept = self.places, self.kept
         out = np.empty((len(words), kept.shape[1]))
-        found = np.fromiter((places.get(w, -1) for w in words), np.int64, len(words))
+        found = np.fromiter(map(places.get, words, repeat(-1)), np.int64, len(words))
         out[found >= 0] = kept[found[found >= 0]]
         fresh = np.nonzero(found < 0)[0]
         spellings = [spelled(words[i]) for i in fresh]
         for part, table in self.pieces.by_length(spellings):
-            out[fresh[part]] = forward(table, self.log_chance)[0][:, -1]
+            out[fresh[part]] = forward(table, self.chance)[0]
         for i, spelling in zip(fresh, spellings):
             if len(spelling) <= KEPT_BYTES:
                 if len(places) >= len(kept):
@@ -284,7 +334,7 @@ class Judge:
             while stop < len(counted) and (stop == start or size < len(self.kept)):
                 size += len(counted[stop])
                 stop += 1
-            known = sorted(set().union(*counted[start:stop]))
+            known = list(set().union(*counted[start:stop]))
             rows, values = {w: i for i, w in enumerate(known)}, self.logarithms(known)
             for found in counted[start:stop]:
                 at = np.fromiter(map(rows.__getitem__, found), np.int64, len(found))
