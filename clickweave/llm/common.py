@@ -38,6 +38,12 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+def dealt(stored: DataFrame, rows: int) -> DataFrame:
+    """A written table in partitions of about ``rows`` rows, for work that is long per row
+    and whose rows are short, so that files hold many."""
+    return stored.repartition(max(1, -(-stored.count() // rows)))
+
+
 def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The column's values as UTF-8, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, map_batches, record_batch, texts
+from clickweave.llm.common import column, dealt, map_batches, record_batch, texts
 from clickweave.session import materialize, ship_package
 
 FOLDS, HELD_OUT = 4, 2
@@ -43,6 +43,8 @@ RUNS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 LATIN_RUNS = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+").findall
 #: Word counts a task gathers before it hands them on.
 COUNTED = 200_000
+#: Words whose segmentations a task of a learning round adds up.
+WORDS_A_TASK = 50_000
 #: Values of words' scores a task remembers, and the longest word among them.
 KEPT_VALUES, KEPT_BYTES = 2_000_000, 64
 #: Entries of the tables of words that are summed together.
@@ -285,7 +287,7 @@ def train(docs: DataFrame, path: str, settings: Settings = Settings(), id_col: s
     pieces = read_pieces(path)
     share = np.log([(sizes[x] + 1) / (sum(sizes.values()) + len(sizes)) for x in languages])
     model = Model(languages, pieces, np.full((len(pieces), len(languages)), 1 / len(pieces)), share)
-    words = table.where("word <> ''")
+    words = dealt(table.where("word <> ''"), WORDS_A_TASK)
     for _ in range(settings.rounds if languages else 0):
         counts = _expectation(words, model)
         model = Model(languages, pieces, _smoothed(counts, settings), share)

@@ -61,6 +61,9 @@ class Template:
         return found
 
 
+#: A word of a mandatory phrase counts as much as so many others. Weights don't depend on
+#: the corpus, so a text's labels don't depend on other texts.
+MANDATORY_WEIGHT = 5.0
 #: Notices as they are commonly written.
 TEMPLATES = (
     Template("gpl-3.0", "licensed under the gnu general public license version 3",
@@ -149,11 +152,12 @@ def template_scores(tokens: Column, looked_up: Column, template: Template,
     words = template.words
     word, place = anchor(template, rarity)
     starts = F.transform(F.filter(looked_up, lambda o: o["w"] == word), lambda o: o["i"] - place)
-    weight = {w: max(rarity.get(w, 0.0), 0.1) for w in words}
-    whole = sum(weight[w] for w in words)
+    fixed = {at + i for at, part in template.places() for i in range(len(part))}
+    weight = [MANDATORY_WEIGHT if i in fixed else 1.0 for i in range(len(words))]
+    whole = sum(weight)
 
     def score(start: Column) -> Column:
-        agree = [F.when(F.get(tokens, start + i) == w, F.lit(weight[w])).otherwise(0.0)
+        agree = [F.when(F.get(tokens, start + i) == w, F.lit(weight[i])).otherwise(0.0)
                  for i, w in enumerate(words)]
         share = reduce(lambda a, b: a + b, agree) / whole
         must = [stands_at(tokens, start + at, part) for at, part in template.places()]

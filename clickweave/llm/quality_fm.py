@@ -21,6 +21,7 @@ from __future__ import annotations
 import operator
 import string
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -40,7 +41,7 @@ class Settings:
     train_rows: int = 12_000  # the bound of the sample the model is fitted on
     buckets: int = 1 << 15
     factors: int = 8
-    epochs: int = 6
+    steps: int = 560  # of mini-batches; as many from a small sample as from a full one
     batch: int = 128
     rate: float = 0.05
     decay: float = 1e-5
@@ -123,6 +124,17 @@ def standard(stats: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndar
 
 # --- fitting ---------------------------------------------------------------------------------
 
+def _batches(n: int, s: Settings, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """``steps`` mini-batches; every row comes once before any comes again."""
+    left = s.steps
+    while left:
+        order = rng.permutation(n)
+        for at in range(0, n, s.batch):
+            if left:
+                left -= 1
+                yield order[at:at + s.batch]
+
+
 def fit(found: list[np.ndarray], stats: np.ndarray, labels: np.ndarray, s: Settings) -> Model:
     """Logistic loss, adaptive steps, mini-batches in a fixed random order."""
     rng = np.random.default_rng(s.seed)
@@ -134,28 +146,25 @@ def fit(found: list[np.ndarray], stats: np.ndarray, labels: np.ndarray, s: Setti
     mean, spread = stats.mean(0), stats.std(0) + 1e-6
     docs = [rows_of(f, x, s.buckets) for f, x in zip(found, standard(stats, mean, spread))]
     seen_w, seen_v, seen_b = np.full(width, 1e-6), np.full(vectors.shape, 1e-6), 1e-6
-    for _ in range(s.epochs):
-        order = rng.permutation(len(docs))
-        for at in range(0, len(order), s.batch):
-            part = order[at:at + s.batch]
-            sizes = np.array([len(docs[i][0]) for i in part])
-            index = np.concatenate([docs[i][0] for i in part])
-            value = np.concatenate([docs[i][1] for i in part])
-            start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            margin, scaled, total = margins(bias, weights, vectors, index, value, start)
-            error = (sigmoid(margin) - labels[part]) / len(part)
-            each = np.repeat(error, sizes) * value
-            to_v = each[:, None] * (np.repeat(total, sizes, axis=0) - scaled)
-            touched, where = np.unique(index, return_inverse=True)
-            step_w = np.bincount(where, each, len(touched)) + s.decay * weights[touched]
-            step_v = np.column_stack([np.bincount(where, to_v[:, f], len(touched))
-                                      for f in range(s.factors)]) + s.decay * vectors[touched]
-            seen_w[touched] += step_w ** 2
-            seen_v[touched] += step_v ** 2
-            seen_b += error.sum() ** 2
-            weights[touched] -= s.rate * step_w / np.sqrt(seen_w[touched])
-            vectors[touched] -= s.rate * step_v / np.sqrt(seen_v[touched])
-            bias -= s.rate * error.sum() / np.sqrt(seen_b)
+    for part in _batches(len(docs), s, rng):
+        sizes = np.array([len(docs[i][0]) for i in part])
+        index = np.concatenate([docs[i][0] for i in part])
+        value = np.concatenate([docs[i][1] for i in part])
+        start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        margin, scaled, total = margins(bias, weights, vectors, index, value, start)
+        error = (sigmoid(margin) - labels[part]) / len(part)
+        each = np.repeat(error, sizes) * value
+        to_v = each[:, None] * (np.repeat(total, sizes, axis=0) - scaled)
+        touched, where = np.unique(index, return_inverse=True)
+        step_w = np.bincount(where, each, len(touched)) + s.decay * weights[touched]
+        step_v = np.column_stack([np.bincount(where, to_v[:, f], len(touched))
+                                  for f in range(s.factors)]) + s.decay * vectors[touched]
+        seen_w[touched] += step_w ** 2
+        seen_v[touched] += step_v ** 2
+        seen_b += error.sum() ** 2
+        weights[touched] -= s.rate * step_w / np.sqrt(seen_w[touched])
+        vectors[touched] -= s.rate * step_v / np.sqrt(seen_v[touched])
+        bias -= s.rate * error.sum() / np.sqrt(seen_b)
     return Model(bias, weights, vectors, mean, spread)
 
 

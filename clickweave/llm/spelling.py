@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.llm.common import column, record_batch, texts, utf8
+from clickweave.llm.common import column, dealt, record_batch, texts
 from clickweave.operators.skew import skew_join
 from clickweave.session import materialize, ship_package
 
@@ -41,6 +41,8 @@ from clickweave.session import materialize, ship_package
 RUN = re.compile(rb"(?:[a-z]+|(?:\xc3[\x80-\xbf])+)+").findall
 #: Distinct words a task counts before it hands them on.
 COUNTED = 200_000
+#: Words a task makes signatures of.
+WORDS_A_TASK = 20_000
 #: Letters from common to rare; neighbours are dealt to different parts.
 COMMON_FIRST = {c: i for i, c in enumerate("eaisnrtolucdmpghbfvyqkxzjwéèàçêüöäßñóíáú")}
 
@@ -159,7 +161,7 @@ def _signature_table(words: DataFrame, rules: Rules) -> DataFrame:
                     (("sig", pa.int64()), ("kind", pa.int32()), ("word", pa.string()),
                      ("first", pa.int64()), ("last", pa.int64())), zip(*out))})
 
-    return words.select("word").mapInArrow(
+    return dealt(words.select("word"), WORDS_A_TASK).mapInArrow(
         run, "sig long, kind int, word string, first long, last long")
 
 
