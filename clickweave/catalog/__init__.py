@@ -6,7 +6,7 @@ import importlib
 
 from clickweave.catalog.registry import REGISTRY, Query
 
-MODULES = ("scans", "clicks", "windows", "times", "sampling", "features", "vectors")
+MODULES = ("scans", "clicks", "windows", "times", "sampling", "features", "vectors", "tower")
 
 
 def load() -> dict[str, Query]:

@@ -248,19 +248,30 @@ def j04(spark, sf):
 
 # --- pooling --------------------------------------------------------------------------
 
-@query("m06_masked_pooling", sql("""
+_POOLED_MODES = """
   SELECT row_id, mode, d AS dim, round(CASE mode WHEN 'sum' THEN s WHEN 'max' THEN m
     ELSE s / (hist_len + 1e-8) END, 6) + 0.0 AS value
   FROM (SELECT row_id, d, sum(v) AS s, max(v) AS m FROM seqv GROUP BY row_id, d) g
-    JOIN ts USING (row_id), (VALUES ('sum'), ('mean'), ('max')) k(mode)""", "seqv", "ts"))
+    JOIN ts USING (row_id), (VALUES ('sum'), ('mean'), ('max')) k(mode)"""
+
+
+@query("m06_masked_pooling", sql(_POOLED_MODES, "seqv", "ts"))
 def m06(spark, sf):
-    rows, emb, sizes = _inputs(spark, sf)
-    out = None
-    for mode in ("sum", "mean", "max"):
-        one = ft.pool_feature(rows, emb, _history(sizes, mode))
-        one = one.select("row_id", F.lit(mode).alias("mode"), F.col("hist_item_id_vec").alias("vec"))
-        out = one if out is None else out.unionByName(one)
-    return _flat(out, ["row_id", "mode"])
+    """All modes in one pass over the samples."""
+    return _modes(*_inputs(spark, sf))
+
+
+def _modes(rows, emb, sizes, **limits):
+    modes = {m: m for m in ("sum", "mean", "max")}
+    out = ft.pool_modes(rows, emb, _history(sizes), modes, **limits)
+    lines = F.array(*[F.struct(F.lit(m).alias("mode"), F.col(m).alias("vec")) for m in modes])
+    return _flat(out.select("row_id", F.inline(lines)), ["row_id", "mode"])
+
+
+@query("m06_masked_pooling_joined", sql(_POOLED_MODES, "seqv", "ts"))
+def m06_joined(spark, sf):
+    """The form for vector tables that do not fit a task."""
+    return _modes(*_inputs(spark, sf), small_values=0)
 
 
 view("weights", f"""
@@ -286,23 +297,34 @@ def m07(spark, sf):
                  ["row_id", "normalised", "pos"])
 
 
-@query("m08_pool_by_spec", sql(f"""
+_BY_SPEC = f"""
   SELECT row_id, 'hist_item_id' AS feature, d AS dim,
     round(sum(v * soft) / (any_value(hist_len) + 1e-8), 6) + 0.0 AS value
   FROM seqv JOIN weights USING (row_id, pos) JOIN ts USING (row_id) GROUP BY row_id, d
   UNION ALL
   SELECT row_id, 'recent_ids', d, round(max(v), 6) + 0.0 FROM seqv WHERE pos < {RECENT}
-  GROUP BY row_id, d""", "seqv", "weights", "ts"))
+  GROUP BY row_id, d"""
+
+
+@query("m08_pool_by_spec", sql(_BY_SPEC, "seqv", "weights", "ts"))
 def m08(spark, sf):
-    rows, emb, sizes = _inputs(spark, sf)
+    return _by_spec(*_inputs(spark, sf))
+
+
+def _by_spec(rows, emb, sizes, **limits):
     user, _ = _spec(sizes)
-    out, groups = ft.pool_features(rows, emb, user[1:])
+    out, groups = ft.pool_features(rows, emb, user[1:], **limits)
     names = [c for cols in groups.values() for c in cols]
     both = F.array(*[F.struct(F.lit(n.removesuffix("_vec")).alias("feature"),
                               F.col(n).alias("vec")) for n in names])
     return _flat(out.select("row_id", F.inline(both)), ["row_id", "feature"])
 
 
+@query("m08_pool_by_spec_joined", sql(_BY_SPEC, "seqv", "weights", "ts"))
+def m08_joined(spark, sf):
+    return _by_spec(*_inputs(spark, sf), small_values=0)
+
+
 @query("m09_dense_transform", sql("""
   SELECT event_id, round(ln(1.0 + dur_sec), 6) + 0.0 AS dur_sec,
     round(readrate, 6) + 0.0 AS readrate FROM clicks_a""", "clicks_a"))
@@ -478,20 +500,31 @@ for _i in (1, 2, 3):
       ON u.k = b.k AND u.pos = b.pos""", f"b{_i}", f"c{_i}", "es")
 
 
-def _capsules(spark, sf):
+def _capsules(spark, sf, **limits):
     rows, emb, sizes = _inputs(spark, sf)
-    sequences = recall_job.history_sequences(rows, emb, _history(sizes))
-    return it.route_interests(sequences, _logits(), _bilinear())
+    return recall_job.capsules_of(rows, emb, _history(sizes), _logits(), _bilinear(), **limits)
 
 
-@query("m12_interest_routing", sql("""
-  SELECT row_id, k AS interest_no, j AS dim, round(c, 6) + 0.0 AS value FROM c3""", "c3"))
-def m12(spark, sf):
-    rows = it.interest_rows(_capsules(spark, sf)[0])
+def interest_cells(interests, col="capsules"):
+    rows = it.interest_rows(interests, col)
     return _flat(rows.withColumn("interest_no", F.col("interest_no").cast("bigint")),
                  ["row_id", "interest_no"])
 
 
+ROUTED = "SELECT row_id, k AS interest_no, j AS dim, round(c, 6) + 0.0 AS value FROM c3"
+
+
+@query("m12_interest_routing", sql(ROUTED, "c3"))
+def m12(spark, sf):
+    return interest_cells(_capsules(spark, sf))
+
+
+@query("m12_interest_routing_joined", sql(ROUTED, "c3"))
+def m12_joined(spark, sf):
+    """The form for vector tables that do not fit a task."""
+    return interest_cells(_capsules(spark, sf, small_values=0))
+
+
 @query("m13_interest_count", sql(f"""
   SELECT user_id, pos, CAST(greatest(1, least({K_MAX}, length(bin(hist_len + 1)) - 1)) AS INTEGER)
     AS k_user FROM samples""", "samples"))
@@ -513,7 +546,7 @@ def m13(spark, sf):
 def m14(spark, sf):
     rows, emb, sizes = _inputs(spark, sf)
     target = ft.lookup(rows, emb, ft.SparseFeature("item_id", sizes["item_id"], DIM))
-    both = _capsules(spark, sf)[0].join(target.select("row_id", "item_id_vec"), "row_id")
+    both = _capsules(spark, sf).join(target.select("row_id", "item_id_vec"), "row_id")
     k_user = it.interest_count(F.col("hist_len"), K_MAX)
     vec = it.label_attention(F.col("capsules"), F.col("item_id_vec"), 1.0, k_user)
     return _flat(both.select("row_id", vec.alias("vec")), ["row_id"])
@@ -531,7 +564,7 @@ def m15(spark, sf):
     rows, emb, sizes = _inputs(spark, sf)
     vecs, groups = ft.lookup_groups(rows, emb, [ft.SparseFeature("user_id", sizes["user_id"], DIM)])
     other = ft.concat_features(groups[ft.DEFAULT_GROUP])
-    out = it.tile_user_features(_capsules(spark, sf)[0], vecs.select("row_id", other.alias("other_vec")))
+    out = it.tile_user_features(_capsules(spark, sf), vecs.select("row_id", other.alias("other_vec")))
     flat = it.interest_rows(out).withColumn("interest_no", F.col("interest_no").cast("bigint"))
     return _flat(flat, ["row_id", "interest_no"])
 
@@ -655,9 +688,9 @@ def m19_facts(spark, sf):
     return sizes.withColumn("above_chance", F.lit(better))
 
 
-@query("m20_user_vectors", sql("""
+@query("m20_user_vectors_ids_only", sql("""
   SELECT row_id, k AS interest_no, i AS dim, round(x, 6) + 0.0 AS value FROM tower2""", "tower2"))
-def m20(spark, sf):
+def m20_ids_only(spark, sf):
     rows, emb, sizes = _inputs(spark, sf)
     out = recall_job.user_vectors(
         rows, emb, [ft.SparseFeature("user_id", sizes["user_id"], DIM)], _history(sizes),

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from clickweave.catalog import fixtures as fx
 from clickweave.catalog.registry import query, sql, view
 from clickweave.functions.arrays import rounded
-from clickweave.operators import evaluation as ev, retrieval as rt
+from clickweave.operators import evaluation as ev, index as ix, retrieval as rt
 from clickweave.operators.ordering import first_in_group, top_k
 from clickweave.operators.skew import with_row_index
+from clickweave.session import scratch_path
 
 K, PROBES, SIZE = 10, 3, 100
 
@@ -97,6 +98,20 @@ def o02(spark, sf):
 
 # --- inverted lists ---------------------------------------------------------------
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark, sf):
+    """All items in cells, with vectors and codes; written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        path = scratch_path(spark, "index")
+        ix.build_index(fx.items(spark, sf).select("item_id", "vec"), path,
+                       fx.given_centroids(spark, sf), fx.given_codebook(spark, sf))
+        _INDEXES[key] = path
+    return ix.open_index(spark, _INDEXES[key])
+
+
 def _indexed(spark, sf):
     centers = fx.given_centroids(spark, sf)
     return rt.assign_cells(fx.items(spark, sf), centers), centers
@@ -132,15 +147,25 @@ def r02_facts(spark, sf):
                        .alias("n_misplaced"))
 
 
-@query("r03_ivf_search", sql(OUT + """(
+IVF_HITS = OUT + """(
   SELECT p.query_id, p.item_id, p.distance, row_number() OVER (
     PARTITION BY p.query_id ORDER BY p.distance, p.item_id) AS rank
   FROM pair_dist p JOIN assigned a ON a.vec_id = p.item_id
     JOIN cell_dist c ON c.vec_id = p.query_id AND c.cell = a.cell AND c.r <= 3) t
-  WHERE rank <= 10""", "pair_dist", "assigned"))
+  WHERE rank <= 10"""
+
+
+@query("r03_ivf_search", sql(IVF_HITS, "pair_dist", "assigned"))
 def r03(spark, sf):
-    indexed, centers = _indexed(spark, sf)
-    return _out(rt.ivf_search(indexed, fx.queries(spark, sf), centers, K, PROBES), "query_id")
+    return _out(stored_index(spark, sf).search(fx.queries(spark, sf), K, PROBES), "query_id")
+
+
+@query("r03_ivf_search_blocks", sql(IVF_HITS, "pair_dist", "assigned"))
+def r03_blocks(spark, sf):
+    """The form for query sets that do not fit a task."""
+    hits = stored_index(spark, sf).search(fx.queries(spark, sf), K, PROBES, small_values=0,
+                                          item_block=64, query_block=64)
+    return _out(hits, "query_id")
 
 
 # --- product codes ----------------------------------------------------------------
@@ -240,8 +265,8 @@ def r04_facts(spark, sf):
     GROUP BY l.vec_id, k.vec_id) t) u
   WHERE rank <= 10""", "codes", "cell_dist"))
 def r05(spark, sf):
-    coded, centers, book = _coded(spark, sf)
-    return _out(rt.pq_search(coded, fx.queries(spark, sf), centers, book, K, PROBES), "query_id")
+    hits = stored_index(spark, sf).search(fx.queries(spark, sf), K, PROBES, codes=True)
+    return _out(hits, "query_id")
 
 
 # --- users with several vectors ------------------------------------------------------
@@ -296,6 +321,23 @@ def r12(spark, sf):
     return _out(rt.multi_vector_search(_user_hits(spark, sf, K), K), "user_id")
 
 
+@query("r12_stored_index", sql("""
+  SELECT user_id, item_id, round(distance, 6) + 0.0 AS distance, rank FROM (
+    SELECT user_id, item_id, distance, row_number() OVER (
+      PARTITION BY user_id ORDER BY distance, item_id) AS rank FROM (
+      SELECT query_id // 4 AS user_id, item_id, min(distance) AS distance FROM (
+        SELECT p.query_id, p.item_id, p.distance, row_number() OVER (
+          PARTITION BY p.query_id ORDER BY p.distance, p.item_id) AS r
+        FROM pair_dist p JOIN assigned a ON a.vec_id = p.item_id
+          JOIN cell_dist c ON c.vec_id = p.query_id AND c.cell = a.cell AND c.r <= 3) t
+      WHERE r <= 10 GROUP BY ALL) m) s
+  WHERE rank <= 10""", "pair_dist", "assigned", "cell_dist"))
+def r12_index(spark, sf):
+    """Users with several vectors, searched in the stored cells."""
+    hits = stored_index(spark, sf).search(_users(spark, sf), K, PROBES, ("user_id", "interest_no"))
+    return _out(rt.multi_vector_search(hits, K), "user_id")
+
+
 # --- results with item data -----------------------------------------------------------
 
 view("with_sim", """

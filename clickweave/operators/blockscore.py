@@ -32,6 +32,14 @@ def list_column(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1)))
 
 
+def nested_lists(values: np.ndarray) -> pa.Array:
+    """(rows, k, dim) as a column of lists of lists."""
+    n, k, dim = values.shape
+    inner = pa.ListArray.from_arrays(
+        pa.array(np.arange(n * k + 1, dtype=np.int32) * np.int32(dim)), pa.array(values.reshape(-1)))
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(k)), inner)
+
+
 def squared_l2(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
     return np.maximum(out, 0.0)

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clickweave.functions.arrays import elementwise
 from clickweave.functions.hashing import bucket, standard_normal
+from clickweave.operators import gather
+from clickweave.operators.gather import GATHER_VALUES, POOLING_EPS, POOLING_FLOOR
 from clickweave.operators.skew import HOT_ROWS, skew_join
+from clickweave.session import materialize
 
 DEFAULT_GROUP = "default_group"
-POOLING_EPS = 1e-8
-POOLING_FLOOR = -1e9
 
 _KINDS = {"int32": T.IntegerType(), "int64": T.LongType(), "float32": T.FloatType(),
           "float64": T.DoubleType(), "string": T.StringType()}
@@ -238,15 +239,36 @@ def lookup_groups(rows: DataFrame, emb: DataFrame, features: Sequence[SparseFeat
     return rows, groups
 
 
+def list_index(feature: SequenceFeature) -> Callable[[Column], Column]:
+    """Table index of one id of the list."""
+    if feature.sparse.use_hash:
+        return lambda x: bucket(x, feature.sparse.vocabulary_size, mask_zero=True)
+    return lambda x: x
+
+
+def small_table(emb: DataFrame, feature: SequenceFeature,
+                small_values: int = GATHER_VALUES) -> gather.VectorTable | None:
+    """The feature's vectors if they may go to every task."""
+    return gather.vector_table(emb, feature.sparse.table, feature.sparse.dim, small_values)
+
+
 def sequence_lookup(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
-                    row_id: str = "row_id", hot_rows: int = HOT_ROWS,
-                    unknown: str = "zero") -> DataFrame:
+                    row_id: str = "row_id", hot_rows: int = HOT_ROWS, unknown: str = "zero",
+                    small_values: int = GATHER_VALUES) -> DataFrame:
     """(row_id, pos, [weight,] vec) for every position that counts, known id or not.
 
     A position counts while it is below the length column, or, without one,
-    while its id is not 0. Padding ids are dropped before the join: they would
-    be by far the hottest key and their vector is zero.
+    while its id is not 0. A vector table of up to ``small_values`` values is looked up in
+    the batches that hold the lists; beyond that, positions are joined. Padding ids are
+    dropped before the join: they would be by far the hottest key and their vector is zero.
     """
+    if unknown not in UNKNOWN:
+        raise ValueError(f"unknown must be one of {UNKNOWN}")
+    table = small_table(emb, feature, small_values)
+    index = list_index(feature)
+    if table is not None:
+        return gather.flat_lists(gather.with_index(rows, feature.name, index), table, row_id,
+                                 feature.length_name, feature.weight_name, unknown)
     cols = [row_id]
     if feature.length_name:
         cols.append(feature.length_name)
@@ -257,14 +279,11 @@ def sequence_lookup(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
         flat = flat.where(F.col("pos") < F.col(feature.length_name))
     is_text = isinstance(flat.schema["_id"].dataType, T.StringType)
     flat = flat.where(F.col("_id") != (F.lit("0") if is_text else F.lit(0)))
-    index = F.col("_id")
-    if feature.sparse.use_hash:
-        index = bucket(index, feature.sparse.vocabulary_size, mask_zero=True)
-    picked = [row_id, "pos", index.cast("bigint").alias("_idx")]
+    picked = [row_id, "pos", index(F.col("_id")).cast("bigint").alias("_idx")]
     if feature.weight_name:
         picked.append(F.get(F.col(feature.weight_name), F.col("pos")).alias("weight"))
-    table = _table(emb, feature.sparse.table, "_idx", "vec")
-    found = skew_join(flat.select(*picked), table, ["_idx"], "left", hot_rows)
+    vectors = _table(emb, feature.sparse.table, "_idx", "vec")
+    found = skew_join(flat.select(*picked), vectors, ["_idx"], "left", hot_rows)
     vec = vector_or_zero(F.col("vec"), feature.sparse.dim, F.col("_idx"), unknown)
     return found.withColumn("vec", vec).drop("_idx")
 
@@ -308,7 +327,7 @@ def pool_positions(rows: DataFrame, vectors: DataFrame, mode: str, dim: int,
     grouped = grouped.select(row_id, vector_to_array(F.col(f"_s.{metric}")).alias("_v"),
                              F.col("_s.count").alias("_count"))
     empty = F.array_repeat(F.lit(POOLING_FLOOR if mode == "max" else 0.0), dim)
-    size = F.coalesce("_count", F.lit(0)) if length is None else F.col("_len")
+    size = F.coalesce("_count" if length is None else "_len", F.lit(0))
     base = rows.select(row_id) if length is None else rows.select(row_id, length.alias("_len"))
     value = F.coalesce("_v", empty)
     if mode == "mean":
@@ -316,27 +335,64 @@ def pool_positions(rows: DataFrame, vectors: DataFrame, mode: str, dim: int,
     return base.join(grouped, row_id, "left").select(row_id, value.alias(out))
 
 
-def pool_feature(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
-                 row_id: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One sequence feature from ids to a pooled vector, weighted if it has weights."""
-    vectors = sequence_lookup(rows, emb, feature, row_id, hot_rows)
+def pool_modes(rows: DataFrame, emb: DataFrame, feature: SequenceFeature, modes: dict[str, str],
+               row_id: str = "row_id", hot_rows: int = HOT_ROWS,
+               small_values: int = GATHER_VALUES) -> DataFrame:
+    """``rows`` with a pooled vector per entry (column: mode) of ``modes``; one look-up for all."""
+    table = small_table(emb, feature, small_values)
+    if table is not None:
+        indexed = gather.with_index(rows, feature.name, list_index(feature))
+        return gather.pool_lists(indexed, table, modes, feature.length_name, feature.weight_name,
+                                 feature.weight_norm)
+    vectors = sequence_lookup(rows, emb, feature, row_id, hot_rows, small_values=small_values)
     if feature.weight_name:
         vectors = weight_positions(vectors, feature.weight_norm, row_id)
+    if len(modes) > 1:
+        vectors = materialize(vectors, "positions")
     length = F.col(feature.length_name) if feature.length_name else None
-    return pool_positions(rows, vectors, feature.combiner, feature.sparse.dim, length, row_id,
-                          f"{feature.name}_vec")
+    for column, mode in modes.items():
+        pooled = pool_positions(rows.select(row_id, *filter(None, [feature.length_name])), vectors,
+                                mode, feature.sparse.dim, length, row_id, column)
+        rows = rows.join(pooled, row_id)
+    return rows
+
+
+def pool_feature(rows: DataFrame, emb: DataFrame, feature: SequenceFeature,
+                 row_id: str = "row_id", hot_rows: int = HOT_ROWS,
+                 small_values: int = GATHER_VALUES) -> DataFrame:
+    """(row_id, vector): one sequence feature from ids to a pooled vector, weighted if it
+    has weights."""
+    out = f"{feature.name}_vec"
+    return pool_modes(rows, emb, feature, {out: feature.combiner}, row_id, hot_rows,
+                      small_values).select(row_id, out)
 
 
 def pool_features(rows: DataFrame, emb: DataFrame, features: Sequence[SequenceFeature],
-                  row_id: str = "row_id",
-                  hot_rows: int = HOT_ROWS) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Pooled vectors of several sequence features, and their columns by group."""
-    out = rows
+                  row_id: str = "row_id", hot_rows: int = HOT_ROWS,
+                  small_values: int = GATHER_VALUES) -> tuple[DataFrame, dict[str, list[str]]]:
+    """``rows`` with the pooled vectors of several sequence features, and their columns by group."""
     groups: dict[str, list[str]] = {}
     for f in features:
-        out = out.join(pool_feature(rows, emb, f, row_id, hot_rows), row_id)
+        rows = pool_modes(rows, emb, f, {f"{f.name}_vec": f.combiner}, row_id, hot_rows,
+                          small_values)
         groups.setdefault(f.group_name, []).append(f"{f.name}_vec")
-    return out, groups
+    return rows, groups
+
+
+def assemble(rows: DataFrame, emb: DataFrame, groups: FeatureGroups, out: str = "other_vec",
+             hot_rows: int = HOT_ROWS, small_values: int = GATHER_VALUES) -> DataFrame:
+    """``rows`` with the user's features but the history in one vector: looked-up ids, pooled
+    sequences, then dense values after their transforms."""
+    rows, looked_up = lookup_groups(rows, emb, groups.sparse, hot_rows=hot_rows)
+    rows, pooled = pool_features(rows, emb, groups.other_sequences, hot_rows=hot_rows,
+                                 small_values=small_values)
+    rows = dense_inputs(rows, groups.dense)
+    vectors = [F.col(c) for found in (looked_up, pooled) for cols in found.values() for c in cols]
+    vectors += [F.col(f.name).cast("array<double>") if f.dimension > 1
+                else F.array(F.col(f.name).cast("double")) for f in groups.dense]
+    if not vectors:
+        raise ValueError("no feature but the history")
+    return rows.withColumn(out, F.concat(*vectors))
 
 
 def dense_inputs(df: DataFrame, features: Sequence[Feature]) -> DataFrame:

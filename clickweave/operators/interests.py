@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickweave.functions.arrays import add, dot, let, log2_floor_1p, scale
 from clickweave.functions.hashing import portable_hash
+from clickweave.operators.blockscore import nested_lists
+from clickweave.operators.gather import VectorTable
 from clickweave.operators.skew import HOT_ROWS, skew_join
 from clickweave.session import ensure_checkpoint_dir, materialize, ship_package
 
 MASKED = -2.0 ** 32 + 1
 SQUASH_EPS = 1e-8
+STEP_ROWS = 2_000
 
 
 def interest_count(hist_len: Column, k_max: int) -> Column:
@@ -37,53 +40,70 @@ def sequence_rows(vectors: DataFrame, row_id: str = "row_id") -> DataFrame:
         F.flatten(F.transform("_s", lambda e: e["vec"].cast("array<double>"))).alias("values"))
 
 
-def _capsules(batch: pa.RecordBatch, logits: np.ndarray, bilinear: np.ndarray):
-    """Mapped histories (rows, length, dim) and capsules (rows, k, dim) of one batch."""
-    k, length = logits.shape
-    dim = bilinear.shape[0]
+def _mapped(batch: pa.RecordBatch, length: int, bilinear: np.ndarray,
+            table: VectorTable | None) -> np.ndarray:
+    """Histories (rows, length, dim) under the bilinear map; ``table`` is mapped already."""
     places = batch.column("places")
-    counts = places.value_lengths().to_numpy()
-    rows = np.repeat(np.arange(batch.num_rows), counts)
+    rows = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
     at = places.flatten().to_numpy()
-    vecs = batch.column("values").flatten().to_numpy().reshape(-1, dim)
+    if table is None:
+        dim = bilinear.shape[0]
+        vecs = batch.column("values").flatten().to_numpy().reshape(-1, dim) @ bilinear
+    else:
+        vecs = table.vectors[table.places(batch.column("index").flatten().to_numpy())]
     mapped = np.zeros((batch.num_rows, length, bilinear.shape[1]))
-    mapped[rows, at] = vecs @ bilinear
-    used = np.arange(length)[None, :] < batch.column("hist_len").to_numpy()[:, None]
+    mapped[rows, at] = vecs
+    return mapped
+
+
+def _capsules(mapped: np.ndarray, hist_len: np.ndarray, logits: np.ndarray) -> np.ndarray:
+    """Capsules (rows, k, dim) of mapped histories."""
+    used = np.arange(logits.shape[1])[None, :] < hist_len[:, None]
     weight = np.where(used[:, None, :], logits[None, :, :], MASKED)
     weight = np.exp(weight - weight.max(axis=2, keepdims=True))
     weight /= weight.sum(axis=2, keepdims=True)
     z = weight @ mapped
     norm = (z * z).sum(axis=2, keepdims=True)
-    return mapped, norm / (1.0 + norm) / np.sqrt(norm + SQUASH_EPS) * z
+    return norm / (1.0 + norm) / np.sqrt(norm + SQUASH_EPS) * z
 
 
 def route_interests(sequences: DataFrame, logits: np.ndarray, bilinear: np.ndarray,
-                    iterations: int = 3, row_id: str = "row_id",
-                    final_logits: bool = False) -> tuple[DataFrame, np.ndarray]:
-    """(row_id, hist_len, capsules ARRAY<ARRAY<DOUBLE>>) and the routing logits.
+                    iterations: int = 3, row_id: str = "row_id", final_logits: bool = False,
+                    table: VectorTable | None = None,
+                    keep: Sequence[str] = ()) -> tuple[DataFrame, np.ndarray]:
+    """(row_id, hist_len, [keep,] capsules ARRAY<ARRAY<DOUBLE>>) and the routing logits.
 
     The logits are those the capsules were made with; ``final_logits`` adds the
     last iteration's change, which takes one more pass.
 
-    ``sequences`` holds (row_id, hist_len, places, values). The logits, one per
+    ``sequences`` holds (row_id, hist_len, places, values), or, with a ``table`` of vectors
+    that every task gets, (row_id, hist_len, places, index): then rows carry ids, not
+    vectors, and these are looked up in each pass. The logits, one per
     capsule and position, are shared by all rows: every iteration is one pass in
     which each task sums its own changes, and only that k x length table is
-    brought together. The input is written once, so no pass repeats the joins.
+    brought together. The input is written once, so no pass repeats what made it.
     """
     ship_package(sequences.sparkSession)
     logits = np.array(logits, dtype=np.float64)
     bilinear = np.array(bilinear, dtype=np.float64)
     k, length = logits.shape
+    payload = "values" if table is None else "index"
     stored = materialize(sequences.select(row_id, F.col("hist_len").cast("int").alias("hist_len"),
-                                          "places", "values"), "sequences")
+                                          *keep, "places", payload), "sequences")
+    shared = stored.sparkSession.sparkContext.broadcast(
+        None if table is None else table.mapped(bilinear))
+
+    def capsules_of(batch: pa.RecordBatch, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mapped = _mapped(batch, length, bilinear, shared.value)
+        return mapped, _capsules(mapped, batch.column("hist_len").to_numpy(), now)
 
     def changes(now: np.ndarray) -> np.ndarray:
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((k, length))
             for batch in batches:
-                if batch.num_rows:
-                    mapped, capsules = _capsules(batch, now, bilinear)
-                    total += np.einsum("rkd,rld->kl", capsules, mapped)
+                for part in parts_of(batch):
+                    mapped, capsules = capsules_of(part, now)
+                    total += np.einsum("rkd,rld->kl", capsules, mapped, optimize=True)
             cap, pos = np.indices(total.shape)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cap.reshape(-1)), pa.array(pos.reshape(-1)), pa.array(total.reshape(-1))],
@@ -98,27 +118,27 @@ def route_interests(sequences: DataFrame, logits: np.ndarray, bilinear: np.ndarr
     for _ in range(iterations - 1):
         logits = logits + changes(logits)
     last = logits
-    schema = T.StructType([stored.schema[row_id], stored.schema["hist_len"],
+    carried = [row_id, "hist_len", *keep]
+    schema = T.StructType([*[stored.schema[c] for c in carried],
                            T.StructField("capsules", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            _, capsules = _capsules(batch, last, bilinear)
-            n, _, dim = capsules.shape
-            inner = pa.ListArray.from_arrays(
-                pa.array(np.arange(n * k + 1, dtype=np.int32) * np.int32(dim)),
-                pa.array(capsules.reshape(-1)))
-            outer = pa.ListArray.from_arrays(
-                pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(k)), inner)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(row_id), batch.column("hist_len"), outer],
-                names=[row_id, "hist_len", "capsules"])
+            for part in parts_of(batch):
+                _, capsules = capsules_of(part, last)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in carried], nested_lists(capsules)],
+                    names=[*carried, "capsules"])
 
     return stored.mapInArrow(emit, schema), last + changes(last) if final_logits else last
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most STEP_ROWS rows: a row takes length x dim values in memory."""
+    for start in range(0, batch.num_rows, STEP_ROWS):
+        yield batch.slice(start, STEP_ROWS)
+
+
 def interest_rows(capsules: DataFrame, col: str = "capsules", row_id: str = "row_id") -> DataFrame:
     """(row_id, interest_no, vec): one row per interest vector."""
     return capsules.select(row_id, F.posexplode(col).alias("interest_no", "vec"))
@@ -155,18 +175,45 @@ def tile_user_features(capsules: DataFrame, users: DataFrame, other: str = "othe
 
 # --- sampled softmax --------------------------------------------------------
 
+UNIFORM, LOG_UNIFORM = "uniform", "log_uniform"
+
+
+def _draw(text: Column, classes: int, distribution: str) -> Column:
+    """A class of 1 .. classes from a hash. Log-uniform: class c has the probability
+    ln(1 + 1 / c) / ln(1 + classes), so small codes are drawn most."""
+    if distribution == UNIFORM:
+        return F.pmod(portable_hash(text), F.lit(classes)) + F.lit(1)
+    u = portable_hash(text) / F.lit(4294967296.0)
+    return F.least(F.floor(F.exp(u * F.log(F.lit(classes + 1.0)))), F.lit(classes)).cast("bigint")
+
+
+def _log_expected(item: Column, classes: int, samples: int, distribution: str) -> Column:
+    """Logarithm of how often a class is expected among the samples."""
+    if distribution == UNIFORM:
+        return F.lit(0.0)
+    chance = F.log(F.lit(1.0) + F.lit(1.0) / item) / F.log(F.lit(classes + 1.0))
+    return F.log(F.lit(float(samples)) * chance)
+
+
 def sampled_softmax(rows: DataFrame, item_vectors: DataFrame, vocabulary: int, samples: int = 5,
                     seed: int = 7, row_id: str = "row_id", user_vec: str = "user_vec",
-                    true_item: str = "item_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+                    true_item: str = "item_id", hot_rows: int = HOT_ROWS,
+                    distribution: str = UNIFORM) -> DataFrame:
     """(row_id, loss): cross-entropy of the true item against sampled ones.
 
-    Samples are drawn uniformly from 1 .. vocabulary - 1 by a hash of (seed,
-    row, number); a draw that hits the true item is left out. An item without a
+    Samples are drawn from 1 .. vocabulary - 1 by a hash of (seed, row, number), uniformly
+    or log-uniformly; a draw that hits the true item is left out. Log-uniform logits, the
+    true item's too, are lowered by the logarithm of the expected count (codes then should be
+    in order of falling frequency; the padding code 0 is left as it is). An item without a
     vector counts as the zero vector, so no row is lost and no draw left out.
     """
+    if distribution not in (UNIFORM, LOG_UNIFORM):
+        raise ValueError("distribution must be uniform or log_uniform")
+    classes = vocabulary - 1
+
     def draw(s: Column) -> Column:
         text = F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), s.cast("string"))
-        return F.pmod(portable_hash(text), F.lit(vocabulary - 1)) + F.lit(1)
+        return _draw(text, classes, distribution)
 
     own = F.col(true_item).cast("bigint")
     negatives = F.filter(F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), draw),
@@ -175,10 +222,13 @@ def sampled_softmax(rows: DataFrame, item_vectors: DataFrame, vocabulary: int, s
                        F.explode(F.concat(F.array(own), negatives)).alias("_cand"))
     table = item_vectors.select(F.col("item_id").cast("bigint").alias("_cand"),
                                 F.col("vec").alias("_item"))
+    logit = F.coalesce(dot(F.col(user_vec), F.col("_item")), F.lit(0.0))
+    if distribution != UNIFORM:
+        logit = logit - F.when(F.col("_cand") > 0, _log_expected(
+            F.col("_cand"), classes, samples, distribution)).otherwise(0.0)
     scored = (skew_join(flat, table, ["_cand"], "left", hot_rows)
               .select(row_id, (F.col("_cand") == F.col("_true")).alias("_own"),
-                      F.coalesce(dot(F.col(user_vec), F.col("_item")), F.lit(0.0))
-                      .alias("_logit")))
+                      logit.alias("_logit")))
     grouped = scored.groupBy(row_id).agg(
         F.collect_list("_logit").alias("_logits"),
         F.max(F.when(F.col("_own"), F.col("_logit"))).alias("_own"))

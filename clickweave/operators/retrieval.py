@@ -251,11 +251,17 @@ def write_index(indexed: DataFrame, path: str) -> None:
     indexed.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
 
 
+def search_cells(items: DataFrame, probing: DataFrame, keys: Sequence[str], k: int, payload: str,
+                 score, **limits) -> DataFrame:
+    """The k nearest items of each query among those that share one of its cells."""
+    return _search(items, probing, keys, k, payload, score, "cell", **limits)
+
+
 def ivf_search(indexed: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int,
                probes: int = 1, keys: Sequence[str] = ("query_id",), **limits) -> DataFrame:
     """Exact distances within the ``probes`` cells nearest to each query."""
     probing = assign_cells(queries.select(*keys, "vec"), centroids, probes)
-    return _search(indexed, probing, keys, k, "vec", FlatScore(), "cell", **limits)
+    return search_cells(indexed, probing, keys, k, "vec", FlatScore(), **limits)
 
 
 # --- product codes ----------------------------------------------------------
@@ -297,12 +303,14 @@ def train_codebook(with_residual: DataFrame, parts: int, codes: int = 256, seed:
     return np.array(book)
 
 
-def encode_residuals(with_residual: DataFrame, codebook: np.ndarray) -> DataFrame:
-    """(item_id, cell, codes): nearest code of every sub-space, ties to the smaller code."""
+def encode_residuals(with_residual: DataFrame, codebook: np.ndarray,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """(item_id, cell, [keep,] codes): nearest code of every sub-space, ties to the smaller code."""
     ship_package(with_residual.sparkSession)
     book = _checked(np.asarray(codebook, dtype=np.float64), "the codebook")
-    kept = with_residual.select("item_id", "cell", "residual")
-    out = T.StructType([kept.schema["item_id"], kept.schema["cell"],
+    names = ["item_id", "cell", *keep]
+    kept = with_residual.select(*names, "residual")
+    out = T.StructType([*[kept.schema[c] for c in names],
                         T.StructField("codes", T.ArrayType(T.IntegerType()))])
     shared = kept.sparkSession.sparkContext.broadcast(book)
 
@@ -317,8 +325,7 @@ def encode_residuals(with_residual: DataFrame, codebook: np.ndarray) -> DataFram
                 sub = gap[:, j * width:(j + 1) * width]
                 codes[:, j] = nearest_rows(sub, shared.value[j], 1)[0][:, 0]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), batch.column("cell"), list_column(codes)],
-                names=["item_id", "cell", "codes"])
+                [*[batch.column(c) for c in names], list_column(codes)], names=[*names, "codes"])
 
     return kept.mapInArrow(to_codes, out)
 
@@ -329,7 +336,7 @@ def pq_search(coded: DataFrame, queries: DataFrame, centroids: np.ndarray, codeb
     centers = np.asarray(centroids, dtype=np.float64)
     book = _checked(np.asarray(codebook, dtype=np.float64), "the codebook")
     probing = assign_cells(queries.select(*keys, "vec"), centers, probes)
-    return _search(coded, probing, keys, k, "codes", CodeScore(centers, book), "cell", **limits)
+    return search_cells(coded, probing, keys, k, "codes", CodeScore(centers, book), **limits)
 
 
 # --- results ----------------------------------------------------------------
