@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweave.operators import features as ft, interests as it, samples as sm, scoring as sc
+from clickweave.operators.gather import GATHER_VALUES
 from clickweave.plans import recall_job
 from tests.conftest import rows
 
@@ -55,8 +56,10 @@ def vectors(df, col="hist_item_id_vec"):
 @pytest.mark.parametrize("combiner", ["sum", "mean", "max"])
 @pytest.mark.parametrize("weight", [None, "w"])
 @pytest.mark.parametrize("norm", [True, False])
-def test_pooling(samples, emb, table, data, combiner, weight, norm):
-    got = vectors(ft.pool_feature(samples, emb, history(combiner, weight, norm)))
+@pytest.mark.parametrize("small_values", [GATHER_VALUES, 0])
+def test_pooling(samples, emb, table, data, combiner, weight, norm, small_values):
+    got = vectors(ft.pool_feature(samples, emb, history(combiner, weight, norm),
+                                  small_values=small_values))
     for r, ids, n, w, _ in data:
         used = min(n, LENGTH)
         e = table[ids[:used]]
@@ -72,8 +75,10 @@ def test_pooling(samples, emb, table, data, combiner, weight, norm):
         np.testing.assert_allclose(got[r], want, rtol=1e-9, atol=1e-12)
 
 
-def test_pooling_without_a_length_counts_real_ids(samples, emb, table, data):
-    got = vectors(ft.pool_feature(samples, emb, history("mean", length=None)))
+@pytest.mark.parametrize("small_values", [GATHER_VALUES, 0])
+def test_pooling_without_a_length_counts_real_ids(samples, emb, table, data, small_values):
+    got = vectors(ft.pool_feature(samples, emb, history("mean", length=None),
+                                  small_values=small_values))
     for r, ids, n, _, _ in data:
         used = min(n, LENGTH)
         want = table[ids[:used]].sum(0) / (used + 1e-8) if used else np.zeros(DIM)
@@ -106,11 +111,14 @@ def numpy_routing(data, table, logits, bilinear, iterations):
 
 
 @pytest.mark.parametrize("iterations", [1, 3])
-def test_routing(samples, emb, table, data, iterations):
+@pytest.mark.parametrize("gathered", [True, False])
+def test_routing(samples, emb, table, data, iterations, gathered):
     rnd = np.random.default_rng(8)
     logits, bilinear = rnd.normal(size=(4, LENGTH)), rnd.normal(size=(DIM, 2))
-    sequences = recall_job.history_sequences(samples, emb, history())
-    caps, b = it.route_interests(sequences, logits, bilinear, iterations, final_logits=True)
+    small = ft.small_table(emb, history()) if gathered else None
+    sequences = recall_job.history_sequences(samples, emb, history(), table=small)
+    caps, b = it.route_interests(sequences, logits, bilinear, iterations, final_logits=True,
+                                 table=small)
     want, want_b = numpy_routing(data, table, logits, bilinear, iterations)
     np.testing.assert_allclose(b, want_b, atol=1e-9)
     got = {r["row_id"]: np.array(r["capsules"]) for r in caps.collect()}
