@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, map_batches, record_batch, unused, utf8
+from clickweave.llm.common import column, map_batches, record_batch, sliced, unused, utf8
 from clickweave.llm.words import U64, mix, odd_numbers
 from clickweave.operators.skew import skew_join
 from clickweave.session import materialize, ship_package
@@ -182,7 +182,7 @@ def repeated_spans(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [(at, *span) for at, parts in enumerate(column(batch, "parts").to_pylist())
                     for span in runs(parts, rule.min_words)]
             if rows:
@@ -223,7 +223,7 @@ def drop_repeated(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             spans_of, own = column(batch, parts).to_pylist(), batch.select(names)
             old = own.column(at)
             new = [t.as_py() if not s else cut_out(t.as_py().encode(), s).decode()

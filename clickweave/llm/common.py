@@ -23,17 +23,23 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most BATCH_ROWS rows; lists made of a slice stay small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
     """One Arrow batch in, one out; ``None`` when a batch gives no rows."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                out = make(batch.slice(start, BATCH_ROWS))
-                if out is not None:
-                    yield out
+        for batch in sliced(batches):
+            out = make(batch)
+            if out is not None:
+                yield out
 
     return df.mapInArrow(run, schema)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.llm.common import WordCache, column, record_batch, texts, utf8
+from clickweave.llm.common import WordCache, column, record_batch, sliced, texts, utf8
 from clickweave.llm.words import U64, hashes, window_hashes
 from clickweave.session import ship_package
 
@@ -178,7 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(),
 
         def run(batches, shared=shared):
             index, cache = shared.value, WordCache(bare_hash)
-            for batch in batches:
+            for batch in sliced(batches):
                 rows = [(place, *hit) for place, text in enumerate(utf8(batch))
                         for hit in index.matches(word_hashes(text, cache), rule)]
                 if rows:
@@ -206,7 +206,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()
 
         def run(batches, shared=shared):
             index, cache = shared.value, WordCache(bare_hash)
-            for batch in batches:
+            for batch in sliced(batches):
                 clean = [not index.matches(word_hashes(t, cache), rule)
                          for t in utf8(batch, text_col)]
                 yield batch.filter(pa.array(clean, pa.bool_()))

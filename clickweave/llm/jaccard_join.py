@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, record_batch, texts, unused, utf8
+from clickweave.llm.common import column, record_batch, sliced, texts, unused, utf8
 from clickweave.llm.components import components
 from clickweave.llm.words import U64, hash_cache, hashes, window_hashes
 from clickweave.operators.skew import skew_join
@@ -48,7 +48,9 @@ from clickweave.session import materialize, ship_package
 WORDS = 5
 #: Counters of the rarity table.
 BUCKET_BITS = 18
-SEEN = 200_000
+SEEN = 100_000
+#: Words whose hashes a task remembers.
+WORDS_KEPT = 150_000
 #: Parts of the suffix filter.
 PARTS = 256
 PIVOTS = np.arange(1, PARTS, dtype=np.uint64) << U64(56)
@@ -105,42 +107,50 @@ def _long_lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _class_table(rows: DataFrame) -> DataFrame:
-    """(id, key, cls, n) of every row; written once."""
+    """(id, key, cls, n, screen) of every row; written once.
+
+    ``screen`` holds what the screen needs of a set. Only the first row of a class that a
+    task meets has it, so copies are sent once a task.
+    """
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = hash_cache()
-        for batch in batches:
+        cache, fresh = hash_cache(WORDS_KEPT), _Once()
+        for batch in sliced(batches):
             sets = [ngrams(t, cache) for t in utf8(batch)]
+            names = [class_of(s) for s in sets]
+            sent = [s[:screen_length(len(s))] if c is not None and fresh(c) else s[:0]
+                    for c, s in zip(names, sets)]
             yield record_batch({"id": (column(batch, "id"), None),
                                 "key": (column(batch, "key"), None),
-                                "cls": ([class_of(s) for s in sets], pa.int64()),
-                                "n": ([len(s) for s in sets], pa.int64())})
+                                "cls": (names, pa.int64()),
+                                "n": ([len(s) for s in sets], pa.int64()),
+                                "screen": (_long_lists(sent), None)})
 
-    return materialize(rows.mapInArrow(run, f"id {kind}, key long, cls long, n long"), "classes")
+    return materialize(rows.mapInArrow(
+        run, f"id {kind}, key long, cls long, n long, screen array<long>"), "classes")
 
 
-def _sets(rows: DataFrame, first: bool) -> DataFrame:
-    """(cls, n, grams) of each class that a task meets; ``first``: only what the screen needs."""
+def _sets(rows: DataFrame) -> DataFrame:
+    """(cls, n, grams) of each class that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, fresh = hash_cache(), _Once()
-        for batch in batches:
+        cache, fresh = hash_cache(WORDS_KEPT), _Once()
+        for batch in sliced(batches):
             found = [(class_of(s), s) for s in (ngrams(t, cache) for t in utf8(batch)) if len(s)]
             found = [(c, s) for c, s in found if fresh(c)]
             if found:
                 yield record_batch({
                     "cls": ([c for c, _ in found], pa.int64()),
                     "n": ([len(s) for _, s in found], pa.int64()),
-                    "grams": (_long_lists([s[:screen_length(len(s))] if first else s
-                                           for _, s in found]), None)})
+                    "grams": (_long_lists([s for _, s in found]), None)})
 
     return rows.mapInArrow(run, "cls long, n long, grams array<long>")
 
 
-def _screen(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _screen(classes: DataFrame) -> DataFrame:
     """(cls, n, key): classes that may have a partner, and a row to take the set from."""
-    sent = _sets(rows, first=True).select("cls", F.explode("grams").alias("gram"))
+    sent = classes.select("cls", F.explode("screen").alias("gram"))
     shared = (sent.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
               .where("low < high").select("gram"))
     met = sent.join(materialize(shared, "shared"), "gram", "left_semi")
@@ -156,7 +166,7 @@ def _rarity(sets: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             grams = column(batch, "grams").flatten().to_numpy(zero_copy_only=False).view(U64)
             total += np.bincount((grams >> U64(64 - BUCKET_BITS)).astype(np.int64),
                                  minlength=len(total))
@@ -177,7 +187,7 @@ def _prefixes(sets: DataFrame, rarity: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             chosen = []
             for values in column(batch, "grams"):
                 grams = values.values.to_numpy(zero_copy_only=False).view(U64)
@@ -207,7 +217,7 @@ def _part_table(sets: DataFrame) -> DataFrame:
     """(cls, n, parts): what the suffix filter needs of each set; PARTS bytes a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             parts = [part_sizes(x.values.to_numpy(zero_copy_only=False).view(U64)).tobytes()
                      for x in column(batch, "grams")]
             yield record_batch({"cls": (column(batch, "cls"), None), "n": (column(batch, "n"), None),
@@ -233,7 +243,7 @@ def suffix_filter(pairs: DataFrame, parts: DataFrame) -> DataFrame:
            .select("a", "b", "n_a", "n_b", "parts_a", "parts_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             if not batch.num_rows:
                 continue
             a, b = (np.frombuffer(b"".join(column(batch, f"parts_{x}").to_pylist()), np.uint8)
@@ -255,7 +265,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
            .select("a", "b", "grams_a", "grams_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             good = [_linked(*(x.values.to_numpy(zero_copy_only=False).view(U64) for x in pair))
                     for pair in zip(column(batch, "grams_a"), column(batch, "grams_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -311,10 +321,11 @@ def _links(sets: DataFrame) -> DataFrame:
 def _components(rows: DataFrame) -> DataFrame:
     """(id, key, n, cls, component, component_id) of rows (id, text, key)."""
     ship_package(rows.sparkSession)
-    classes = _class_table(rows)
-    alive = materialize(_screen(rows, classes), "alive")
+    table = _class_table(rows)
+    classes = table.drop("screen")
+    alive = materialize(_screen(table), "alive")
     chosen = skew_join(rows.select("key", "text"), alive.select("key"), ["key"], "left_semi")
-    sets = materialize(_sets(chosen, first=False), "sets")
+    sets = materialize(_sets(chosen), "sets")
     if not sets.groupBy("cls").count().where("count > 1").isEmpty():
         sets = materialize(sets.groupBy("cls").agg(F.first("n").alias("n"),
                                                    F.first("grams").alias("grams")), "sets")
