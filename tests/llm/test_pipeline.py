@@ -19,7 +19,7 @@ def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_copies", "repeated_passages", "decontamination", "tokens"]
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def brute_pipeline(texts, items):
