@@ -17,6 +17,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: A task holds a few Arrow batches at once, on both sides of its pipe to Python.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 _LOCAL_ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -89,7 +91,10 @@ def drop_scratch(spark: SparkSession) -> None:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application."""
+    """Give the Python workers this package, once per application, and batches of a
+    bounded size unless the session names another."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
