@@ -20,7 +20,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from clickweave.llm.common import WordCache, column, map_batches, record_batch, texts, utf8
+from clickweave.llm.common import (WordCache, column, map_batches, record_batch, texts, utf8,
+                                   worker_memo)
 
 #: Symbols up to which looking at all pairs after each merge beats a heap.
 SHORT = 64
@@ -40,7 +40,7 @@ PRINTABLE = re.compile(rb"[!-~]+").fullmatch
 class Codec:
     """Encoder and decoder of one tokenizer file of kind BPE with byte-level symbols."""
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, words_kept: int = WORDS_KEPT) -> None:
         model = json.loads(definition)["model"]
         added = json.loads(definition)["added_tokens"]
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
@@ -61,8 +61,8 @@ class Codec:
         self.has_special = re.compile("|".join(map(re.escape, self.special)).encode()).search
         self.split_plain = self._plain_splitter(json.loads(definition))
         self.no_merge = (len(self.merges), -1)
-        self.words = WordCache(self._word, WORDS_KEPT)
-        self.pre_tokens = WordCache(self._pre_token, WORDS_KEPT // 2)
+        self.words = WordCache(self._word, words_kept)
+        self.pre_tokens = WordCache(self._pre_token, words_kept // 2)
 
     @staticmethod
     def _plain_splitter(definition: dict):
@@ -149,9 +149,8 @@ class Codec:
         return [x for x in ids if x >= 0]
 
 
-@lru_cache(maxsize=2)
-def codec(definition: str) -> Codec:
-    return Codec(definition)
+def codec(definition: str, words_kept: int = WORDS_KEPT) -> Codec:
+    return worker_memo(("bpe", words_kept, definition), lambda: Codec(definition, words_kept))
 
 
 def shared_definition(spark: SparkSession, path: str):
@@ -161,16 +160,18 @@ def shared_definition(spark: SparkSession, path: str):
 
 
 def bpe_encode(docs: DataFrame, path: str, decode: bool = False, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", words_kept: int = WORDS_KEPT) -> DataFrame:
     """(id_col, n_tokens, ids binary[, decoded string]) of whole texts.
 
+    A task remembers the ids of ``words_kept`` words; fewer cost time, not results.
+
     ``ids`` holds unsigned 32-bit integers, little-endian. ``decode`` adds the
     text that these ids stand for.
     """
     definition = shared_definition(docs.sparkSession, path)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, ids = codec(definition.value), column(batch, "id")
+        own, ids = codec(definition.value, words_kept), column(batch, "id")
         encoded = [own.encode(t) for t in utf8(batch)]
         out = {id_col: (ids, ids.type), "n_tokens": ([len(e) // 4 for e in encoded], pa.int64()),
                "ids": (encoded, pa.binary())}

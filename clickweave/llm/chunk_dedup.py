@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, map_batches, record_batch, sliced, unused, utf8
+from clickweave.llm.common import column, map_batches, record_batch, sliced, unused, utf8, worker_memo
 from clickweave.llm.words import U64, mix, odd_numbers
 from clickweave.operators.skew import skew_join
 from clickweave.session import materialize, ship_package
@@ -125,6 +125,7 @@ def chunk_table(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> Data
     kind = dict(docs.dtypes)[id_col]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        worker_memo("chunks", lambda: None)  # cutting needs no memo
         made = [chunks(t, rule.radius, rule.longest) for t in utf8(batch)]
         digests, starts, ends, words = zip(*made)
         return record_batch({"id": (column(batch, "id"), None), "key": (column(batch, "key"), None),

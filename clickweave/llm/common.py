@@ -88,6 +88,21 @@ class WordCache(dict):
         return value
 
 
+_MEMO: list = [None, None]
+
+
+def worker_memo(key: object, make: Callable):
+    """What a Python worker remembers from task to task: one operator's memo at a time.
+
+    Workers serve many operators. A memo is let go as soon as the worker turns to another
+    ``key``, so that their sizes don't add up.
+    """
+    if _MEMO[0] != key:
+        _MEMO[:] = [key, None]
+        _MEMO[1] = make()
+    return _MEMO[1]
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

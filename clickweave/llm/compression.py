@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from clickweave.llm.common import column, map_batches, record_batch, sliced, texts, utf8
+from clickweave.llm.common import column, map_batches, record_batch, sliced, texts, utf8, worker_memo
 from clickweave.session import ship_package
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -149,7 +149,8 @@ def keep_documents(docs: DataFrame, bands: Bands = Bands(), text_col: str = "tex
     ship_package(docs.sparkSession)
 
     def run(batches):
-        packer = zstandard.ZstdCompressor(level=bands.level)
+        packer = worker_memo(("zstd", bands.level),
+                             lambda: zstandard.ZstdCompressor(level=bands.level))
         for batch in sliced(batches):
             passed = [judge(t, bands, packer)[-1] for t in utf8(batch, text_col)]
             yield batch.filter(pa.array(passed, pa.bool_()))

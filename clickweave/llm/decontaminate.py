@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.llm.common import WordCache, column, record_batch, sliced, texts, utf8
+from clickweave.llm.common import WordCache, column, record_batch, sliced, texts, utf8, worker_memo
 from clickweave.llm.words import U64, hashes, window_hashes
 from clickweave.session import ship_package
 
@@ -177,7 +177,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(),
         shared = spark.sparkContext.broadcast(Index(ids, items))
 
         def run(batches, shared=shared):
-            index, cache = shared.value, WordCache(bare_hash)
+            index, cache = shared.value, worker_memo("bare words", lambda: WordCache(bare_hash, 150_000))
             for batch in sliced(batches):
                 rows = [(place, *hit) for place, text in enumerate(utf8(batch))
                         for hit in index.matches(word_hashes(text, cache), rule)]
@@ -205,7 +205,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()
         shared = spark.sparkContext.broadcast(Index(ids, items, rule.drop_words))
 
         def run(batches, shared=shared):
-            index, cache = shared.value, WordCache(bare_hash)
+            index, cache = shared.value, worker_memo("bare words", lambda: WordCache(bare_hash, 150_000))
             for batch in sliced(batches):
                 clean = [not index.matches(word_hashes(t, cache), rule)
                          for t in utf8(batch, text_col)]

@@ -39,7 +39,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import column, record_batch, sliced, texts, unused, utf8
+from clickweave.llm.common import (column, record_batch, sliced, texts, unused, utf8,
+                                   worker_memo)
 from clickweave.llm.components import components
 from clickweave.llm.words import U64, hash_cache, hashes, window_hashes
 from clickweave.operators.skew import skew_join
@@ -115,7 +116,7 @@ def _class_table(rows: DataFrame) -> DataFrame:
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, fresh = hash_cache(WORDS_KEPT), _Once()
+        cache, fresh = worker_memo("n-grams", lambda: hash_cache(WORDS_KEPT)), _Once()
         for batch in sliced(batches):
             sets = [ngrams(t, cache) for t in utf8(batch)]
             names = [class_of(s) for s in sets]
@@ -135,7 +136,7 @@ def _sets(rows: DataFrame) -> DataFrame:
     """(cls, n, grams) of each class that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, fresh = hash_cache(WORDS_KEPT), _Once()
+        cache, fresh = worker_memo("n-grams", lambda: hash_cache(WORDS_KEPT)), _Once()
         for batch in sliced(batches):
             found = [(class_of(s), s) for s in (ngrams(t, cache) for t in utf8(batch)) if len(s)]
             found = [(c, s) for c, s in found if fresh(c)]

@@ -45,8 +45,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): ids as little-endian unsigned 32-bit integers."""
-    return bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"), decode=True)
+    """(doc_id, n_tokens, ids, decoded): ids as little-endian unsigned 32-bit integers.
+
+    The executors' heaps have grown in the stages before, so tasks remember fewer words.
+    """
+    return bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"), decode=True,
+                      words_kept=150_000)
 
 
 STAGES = [
