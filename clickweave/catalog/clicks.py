@@ -15,6 +15,7 @@ from clickweave.plans.window_job import cutoff_epoch
 from clickweave.sources.clicklog import exact_partitions
 
 COLS = ["event_id", "uid", "id", "ctime"]
+MAP_BOUND = 40
 NOT_NULL = "uid IS NOT NULL AND id IS NOT NULL AND ctime IS NOT NULL"
 
 
@@ -192,6 +193,18 @@ def a09(spark, sf):
         F.explode("m").alias("k", "v"))
 
 
+@query("a09_maps_in_parts", sql("""
+  SELECT id AS k, count(*) AS v, true AS fits, true AS in_its_part FROM clicks_a
+  WHERE id IS NOT NULL GROUP BY id""", "clicks_a"))
+def a09_parts(spark, sf):
+    """More keys than a value holds: every piece within its bound, every key in its part."""
+    rows = fx.clicks_a(spark, sf).where("id is not null")
+    maps = ag.pairs_as_maps(ag.count_per_key(rows, "id"), "id", "n", MAP_BOUND)
+    entries = maps.select("part", "parts", F.size("m").alias("size"), F.explode("m").alias("k", "v"))
+    return entries.select("k", "v", (F.col("size") <= MAP_BOUND).alias("fits"),
+                          (F.col("part") == ag.map_part(F.col("k"), F.col("parts"))).alias("in_its_part"))
+
+
 @query("a10_partition_profile")
 def a10(spark, sf):
     return ag.partition_profile(exact_partitions(fx.clicks_a(spark, sf), 8), "event_id")

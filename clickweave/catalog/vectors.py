@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickweave.catalog import fixtures as fx
 from clickweave.catalog.registry import query, sql, view
 from clickweave.functions.arrays import rounded
-from clickweave.operators import evaluation as ev, index as ix, retrieval as rt
+from clickweave.operators import bounded as bd, evaluation as ev, index as ix, retrieval as rt
 from clickweave.operators.ordering import first_in_group, top_k
 from clickweave.operators.skew import with_row_index
 from clickweave.session import scratch_path
@@ -41,6 +41,19 @@ def r01_blocks(spark, sf):
     return _out(hits, "query_id")
 
 
+def _bounded(spark, sf):
+    """Small blocks and query sets that count as large, as on large tables."""
+    return bd.bounded_search(fx.items(spark, sf), fx.queries(spark, sf), K,
+                             pivots=fx.given_centroids(spark, sf), small_values=0,
+                             item_block=128, query_block=200)
+
+
+@query("r01_bounded_search", sql(OUT + "ranked WHERE rank <= 10", "ranked"))
+def r01_bounded(spark, sf):
+    """The same result from the cells that distance bounds leave."""
+    return _out(_bounded(spark, sf).hits, "query_id")
+
+
 @query("j05_distance_join_per_cell", sql("""
   SELECT query_id, item_id, round(distance, 6) + 0.0 AS distance, rank FROM (
     SELECT p.query_id, p.item_id, p.distance,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickweave.operators.skew import key_sizes
+from clickweave.operators.skew import key_sizes, skew_join
+from clickweave.session import materialize
 
 
 def row_count(df: DataFrame, where: Column | None = None, name: str = "n") -> DataFrame:
@@ -59,7 +60,8 @@ def sum_with_zero(df: DataFrame, key: str, value: str, part: str, zero: int) ->
 def pairs_as_map(pairs: DataFrame, key: str, value: str, max_entries: int = 10_000) -> DataFrame:
     """One row holding all pairs as a map.
 
-    A map is one value on one machine, so the number of entries is checked first.
+    A map is one value on one machine, so the number of entries is checked first;
+    ``pairs_as_maps`` takes any number.
     """
     entries = pairs.limit(max_entries + 1).count()
     if entries > max_entries:
@@ -67,6 +69,37 @@ def pairs_as_map(pairs: DataFrame, key: str, value: str, max_entries: int = 10_0
     return pairs.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
 
 
+def pairs_as_maps(pairs: DataFrame, key: str, value: str, max_entries: int = 10_000) -> DataFrame:
+    """(part, piece, parts, m): all pairs as maps of at most ``max_entries`` entries each.
+
+    For maps beyond one value. The part of a key is ``map_part`` of it, so a look-up meets
+    the pieces of one part; a part of more than ``max_entries`` keys goes on in further
+    pieces. Keys are distinct, as in any map. A missing key can't stand in a map and ends
+    the job.
+    """
+    pairs = materialize(pairs.select(key, value), "pairs")
+    parts = max(1, -(-2 * pairs.count() // max_entries))
+    placed = (pairs.withColumn("part", map_part(F.col(key), F.lit(parts)))
+              .withColumn("_n", F.row_number().over(Window.partitionBy("part").orderBy(key)))
+              .withColumn("piece", F.floor((F.col("_n") - 1) / max_entries)))
+    return (placed.groupBy("part", "piece")
+            .agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
+            .select("part", "piece", F.lit(parts).cast("bigint").alias("parts"), "m"))
+
+
+def map_part(key: Column, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(key), parts.cast("bigint"))
+
+
+def look_up_maps(df: DataFrame, maps: DataFrame, key: str, name: str = "value") -> DataFrame:
+    """``df`` with the value of ``key`` in ``maps`` of ``pairs_as_maps``; null if there is none.
+
+    The pieces are opened again and meet the rows by key: nothing is sent whole.
+    """
+    entries = maps.select(F.explode("m").alias(key, name))
+    return skew_join(df, materialize(entries, "entries"), [key], "left")
+
+
 def partition_profile(df: DataFrame, value: str) -> DataFrame:
     """Rows and value range of every Spark partition."""
     return (df.groupBy(F.spark_partition_id().alias("part"))

@@ -16,8 +16,28 @@ MARKER_SCHEMA = "pdate string, phour string"
 
 
 def announce_hours(hours: DataFrame, path: str) -> None:
-    """Append ready markers. The producer of a click partition does this once it is whole."""
-    hours.select("pdate", "phour").coalesce(1).write.mode("append").json(path)
+    """Append ready markers, a folder a day. The producer of a click partition does this
+    once it is whole."""
+    (hours.select("pdate", "phour").coalesce(1)
+     .write.mode("append").partitionBy("pdate").json(path))
+
+
+def read_markers(spark: SparkSession, path: str) -> DataFrame:
+    """(pdate, phour) of every marker; the day is the folder's name."""
+    return spark.read.schema(MARKER_SCHEMA).json(path)
+
+
+def announced_hours(markers: DataFrame, done: tuple[str, str] | None) -> DataFrame:
+    """(day, hour) of the markers (pdate, phour) that come after the hour ``done``.
+
+    Earlier days are left out by their folders, so a trigger opens the markers of the
+    days from the newest snapshot on, however long the loop has been running.
+    """
+    if done is not None:
+        day, hour = done
+        markers = markers.where((F.col("pdate") >= day)
+                                & ((F.col("pdate") > day) | (F.col("phour") > hour)))
+    return markers.select(F.col("pdate").alias("day"), F.col("phour").alias("hour")).distinct()
 
 
 def latest_complete(spark: SparkSession, base: str) -> tuple[str, str] | None:
@@ -70,10 +90,7 @@ def snapshot_step(spark: SparkSession, base: str, clicks: Callable[[], DataFrame
 
     def step(_markers: DataFrame, batch_id: int) -> None:
         done = latest_complete(spark, base)
-        waiting = announced().select(F.col("pdate").alias("day"), F.col("phour").alias("hour"))
-        if done is not None:
-            waiting = waiting.where(F.concat("day", "hour") > "".join(done))
-        waiting = waiting.distinct()
+        waiting = announced_hours(announced(), done)
         if present is not None:
             waiting = ready_hours(waiting, present())
         ready = sorted((r["day"], r["hour"]) for r in waiting.collect())  # hours of some days
@@ -104,7 +121,7 @@ def run_hourly(spark: SparkSession, markers: str, base: str, clicks: Callable[[]
     stream = spark.readStream.schema(MARKER_SCHEMA).json(markers)
 
     def announced() -> DataFrame:
-        return spark.read.schema(MARKER_SCHEMA).json(markers)
+        return read_markers(spark, markers)
 
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(snapshot_step(spark, base, clicks, announced, **options)))

@@ -100,3 +100,24 @@ def test_map_of_pairs_is_bounded(spark):
     assert ag.pairs_as_map(pairs, "k", "v").first()["m"] == {i: i for i in range(20)}
     with pytest.raises(ValueError):
         ag.pairs_as_map(pairs, "k", "v", max_entries=10)
+
+
+def test_maps_in_parts_hold_every_pair_within_the_bound(spark):
+    pairs = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    maps = ag.pairs_as_maps(pairs, "k", "v", max_entries=7)
+    got = maps.collect()
+    assert all(1 <= len(r["m"]) <= 7 for r in got)
+    assert {k: v for r in got for k, v in r["m"].items()} == {i: 2 * i for i in range(1000)}
+    assert sum(len(r["m"]) for r in got) == 1000
+    assert len({(r["part"], r["piece"]) for r in got}) == len(got)
+    asked = spark.createDataFrame([(3,), (999,), (1000,), (None,)], "k bigint")
+    found = {r["k"]: r["value"] for r in ag.look_up_maps(asked, maps, "k").collect()}
+    assert found == {3: 6, 999: 1998, 1000: None, None: None}
+
+
+def test_a_part_with_too_many_keys_goes_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ag, "map_part", lambda key, parts: F.lit(0).cast("bigint"))
+    pairs = spark.range(20).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    got = ag.pairs_as_maps(pairs, "k", "v", max_entries=6).collect()
+    assert sorted(len(r["m"]) for r in got) == [2, 6, 6, 6]
+    assert ag.pairs_as_maps(pairs.limit(0), "k", "v").collect() == []

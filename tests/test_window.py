@@ -206,6 +206,18 @@ def test_hours_behind_a_gap_wait(spark, streamed, clicks, tmp_path):
     assert state_of(spark, base)[1] == fold(clicks, range(5), 12)
 
 
+def test_markers_of_earlier_days_are_not_opened(spark, tmp_path):
+    path = str(tmp_path / "m")
+    names = [("20240105", "23"), ("20240106", "00"), ("20240106", "05"), ("20240107", "01")]
+    hs.announce_hours(spark.createDataFrame(names * 2, "pdate string, phour string"), path)
+    assert len(list((tmp_path / "m").glob("pdate=*"))) == 3
+    waiting = hs.announced_hours(hs.read_markers(spark, path), ("20240106", "00"))
+    assert rows(waiting) == names[2:]
+    plan = waiting._jdf.queryExecution().executedPlan().toString()
+    assert "pdate" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(hs.announced_hours(hs.read_markers(spark, path), None)) == names
+
+
 def test_the_first_hour_is_waited_for(spark, streamed, tmp_path):
     markers, base, loop = (str(tmp_path / n) for n in ("m", "b", "l"))
     for announced, want in (([2], None), ([1], None), ([0], hour_name(2))):
