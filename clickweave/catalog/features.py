@@ -120,7 +120,10 @@ def _spec(sizes, shrink=1):
     WHERE item_id >= (SELECT (max(code) + 1) // 2 FROM item_codes)""", "ts", "item_codes"))
 def m01(spark, sf):
     """Half the vocabulary is declared, so that rows do break it."""
-    rows, _, sizes = _inputs(spark, sf)
+    return _violations(*_inputs(spark, sf))
+
+
+def _violations(rows, _, sizes):
     user, item = _spec(sizes, shrink=2)
     return ft.feature_violations(ft.project_features(rows, user + item, ["row_id"]), user + item)
 
@@ -130,7 +133,10 @@ def m01(spark, sf):
     ('sparse', 'user_id'), ('history', 'hist_item_id'), ('other', 'recent_ids')) t(kind, name)""",
                                  "ts"))
 def m02(spark, sf):
-    rows, _, sizes = _inputs(spark, sf)
+    return _routed(*_inputs(spark, sf))
+
+
+def _routed(rows, _, sizes):
     g = ft.route_features(*_spec(sizes))
     kinds = [(k, f.name) for k, fs in (("sparse", g.sparse), ("dense", g.dense),
                                        ("history", g.history), ("other", g.other_sequences))
@@ -287,14 +293,19 @@ view("weights", f"""
   FROM seqv JOIN weights USING (row_id, pos), (VALUES (true), (false)) k(normalised)""",
                                     "seqv", "weights"))
 def m07(spark, sf):
-    rows, emb, sizes = _inputs(spark, sf)
+    out = _weighted(*_inputs(spark, sf))
+    return _flat(out.withColumn("pos", F.col("pos").cast("bigint")),
+                 ["row_id", "normalised", "pos"])
+
+
+def _weighted(rows, emb, sizes):
+    """Vectors by position with softmax weights and with plain ones."""
     vectors = ft.sequence_lookup(rows, emb, _history(sizes, weight=True))
     out = None
     for norm in (True, False):
         one = ft.weight_positions(vectors, norm).withColumn("normalised", F.lit(norm))
         out = one if out is None else out.unionByName(one)
-    return _flat(out.withColumn("pos", F.col("pos").cast("bigint")),
-                 ["row_id", "normalised", "pos"])
+    return out
 
 
 _BY_SPEC = f"""
@@ -552,6 +563,58 @@ def m14(spark, sf):
     return _flat(both.select("row_id", vec.alias("vec")), ["row_id"])
 
 
+# --- the same on all samples; positions are summed by place, the values of a sample together ---
+
+view("weights_all", f"""
+  SELECT row_id, pos, w, exp(w) / sum(exp(w)) OVER (PARTITION BY row_id) AS soft FROM (
+    SELECT row_id, pos, CAST(CAST({fx.hash_sql("'w'", f"row_id // {SAMPLE_ID}", "pos")} % 1000
+      / CAST(1000 AS DOUBLE) AS FLOAT) AS DOUBLE) AS w
+    FROM seq_all) t""", "seq_all")
+
+
+def _place_sums(vectors: DataFrame, *keys: str) -> DataFrame:
+    """Values of every position times its number, summed per sample: no position is left out."""
+    sums = [F.sum(F.col("vec")[d] * (F.col("pos") + 1)) for d in range(DIM)]
+    return _flat(vectors.groupBy("row_id", *keys).agg(F.array(*sums).alias("vec")),
+                 ["row_id", *keys])
+
+
+@query("m01_feature_violations_all", sql("""
+  SELECT 'user_id' AS feature, CAST(0 AS BIGINT) AS n_rows FROM ts_all HAVING count(*) > 0
+  UNION ALL SELECT 'recent_ids', CAST(0 AS BIGINT) FROM ts_all HAVING count(*) > 0
+  UNION ALL SELECT 'hist_item_id', count(*) FROM ts_all
+    WHERE list_max(hist) >= (SELECT (max(code) + 1) // 2 FROM item_codes)
+  UNION ALL SELECT 'item_id', count(*) FROM ts_all
+    WHERE item_id >= (SELECT (max(code) + 1) // 2 FROM item_codes)""", "ts_all", "item_codes"))
+def m01_all(spark, sf):
+    return _violations(*_inputs(spark, sf, "all"))
+
+
+@query("m02_route_features_all", sql("""
+  SELECT kind, name, (SELECT count(*) FROM ts_all) AS n_rows FROM (VALUES
+    ('sparse', 'user_id'), ('history', 'hist_item_id'), ('other', 'recent_ids')) t(kind, name)""",
+                                     "ts_all"))
+def m02_all(spark, sf):
+    return _routed(*_inputs(spark, sf, "all"))
+
+
+@query("m05_sequence_lookup_all", sql("""
+  SELECT row_id, d AS dim, round(sum(v * (pos + 1)), 6) + 0.0 AS value
+  FROM seqv_all GROUP BY row_id, d""", "seqv_all"))
+def m05_all(spark, sf):
+    rows, emb, sizes = _inputs(spark, sf, "all")
+    return _place_sums(ft.sequence_lookup(rows, emb, _history(sizes)))
+
+
+@query("m07_weighted_sequence_all", sql("""
+  SELECT row_id, normalised, d AS dim,
+    round(sum((pos + 1) * v * CASE WHEN normalised THEN soft ELSE w END), 6) + 0.0 AS value
+  FROM seqv_all JOIN weights_all USING (row_id, pos), (VALUES (true), (false)) k(normalised)
+  GROUP BY row_id, normalised, d""", "seqv_all", "weights_all"))
+def m07_all(spark, sf):
+    return _place_sums(_weighted(*_inputs(spark, sf, "all")), "normalised")
+
+
 view("tiled", f"""
   SELECT c.row_id, c.k, u.d AS i, u.v AS x
   FROM (SELECT DISTINCT row_id, k FROM c3) c JOIN emb_user u ON u.idx = c.row_id
@@ -636,6 +699,19 @@ def m17_layer(spark, sf):
                  "hist_item_id_vec")
 
 
+@query("m17_dice_all", sql("""
+  SELECT row_id, d AS dim, round(0.25 * (1 - p) * v + p * v, 6) + 0.0 AS value FROM (
+    SELECT row_id, d, v, 1 / (1 + exp(-(v - m) / sqrt(s + 1e-9))) AS p
+    FROM pooled_all JOIN (
+      SELECT d, avg(v) AS m, var_pop(v) AS s FROM pooled_all GROUP BY d) g USING (d)) t""",
+                           "pooled_all"))
+def m17_all(spark, sf):
+    rows, emb, sizes = _inputs(spark, sf, "all")
+    pooled = ft.pool_feature(rows, emb, _history(sizes))
+    out = sc.dice_activation(pooled, "hist_item_id_vec", [0.25] * DIM)
+    return _flat(out, ["row_id"], "hist_item_id_vec")
+
+
 @query("m18_item_export", sql("""
   SELECT i.id AS item_id, c.code, e.d AS dim, round(e.v, 6) + 0.0 AS value
   FROM (SELECT DISTINCT id FROM clicks_b) i LEFT JOIN item_codes c ON c.id = i.id
