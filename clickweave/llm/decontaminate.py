@@ -40,6 +40,7 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))
 MIN_WORDS = 8
 EDGE = b".,;:!?\"'()[]{}|*#$%&<>"
 TABLE_BITS = 22
+STEP = 1 << 18  # pairs, and compared words, that are worked on at a time
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ class Index:
 
     def __init__(self, ids: list, items: list[bytes], min_words: int = 1) -> None:
         cache = WordCache(bare_hash)
-        self.ids, self.items, keys, owners, places = [], [], [], [], []
+        self.ids, kept, keys, owners, places = [], [], [], [], []
         short: dict[int, dict[int, list]] = {}  # length, hash of all words, (id, words)
         for id_, text in zip(ids, items):
             words = word_hashes(text, cache)
@@ -79,10 +80,13 @@ class Index:
             for seed, mask in enumerate(MASKS):
                 found = window_hashes(words, mask, seed)
                 keys.append(found)
-                owners.append(np.full(len(found), len(self.items), np.int64))
+                owners.append(np.full(len(found), len(kept), np.int64))
                 places.append(np.arange(len(found)))
             self.ids.append(id_)
-            self.items.append(words)
+            kept.append(words)
+        self.words = np.concatenate(kept) if kept else np.empty(0, U64)
+        self.sizes = np.array([len(w) for w in kept], np.int64)
+        self.offsets = np.cumsum(self.sizes) - self.sizes
         self.keys = np.concatenate(keys) if keys else np.empty(0, U64)
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
@@ -112,42 +116,69 @@ class Index:
                           if np.array_equal(words[place:place + n], item)]
         return found
 
-    def diagonals(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place of its first word in the text) that some seed proposes."""
-        found = set()
+    def diagonals(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(items, places of their first words in the text) that some seed proposes.
+
+        In arrays of about STEP, however many items share a hash and however often it
+        stands in the text; a pair may come again in a later array.
+        """
+        longest = int(self.sizes.max(initial=0))
+        span, waiting, size = len(words) + longest + 1, [], 0
         for seed, mask in enumerate(MASKS):
             own = window_hashes(words, mask, seed)
             at = np.nonzero(self.known[own >> U64(64 - TABLE_BITS)])[0]
+            low = np.searchsorted(self.keys, own[at], "left")
+            n = np.searchsorted(self.keys, own[at], "right") - low
+            at, low, n = at[n > 0], low[n > 0], n[n > 0]
             if not len(at):
                 continue
-            low = np.searchsorted(self.keys, own[at], "left")
-            high = np.searchsorted(self.keys, own[at], "right")
-            for place, a, b in zip(at.tolist(), low.tolist(), high.tolist()):
-                found.update((int(self.owners[k]), place - int(self.places[k]))
-                             for k in range(a, b))
-        return found
+            steps = (np.cumsum(n) - 1) // STEP
+            for part in np.split(np.arange(len(at)), np.nonzero(np.diff(steps))[0] + 1):
+                count = n[part]
+                hit = np.repeat(low[part] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                start = np.repeat(at[part], count) - self.places[hit] + longest
+                waiting.append(np.unique(self.owners[hit] * span + start))
+                size += len(waiting[-1])
+                if size >= STEP:
+                    pairs = np.unique(np.concatenate(waiting))
+                    yield pairs // span, pairs % span - longest
+                    waiting, size = [], 0
+        if waiting:
+            pairs = np.unique(np.concatenate(waiting))
+            yield pairs // span, pairs % span - longest
+
+    def aligned(self, words: np.ndarray, items: np.ndarray, starts: np.ndarray, length: int,
+                rule: Rule) -> tuple[np.ndarray, ...]:
+        """(items, first word, words, equal words) of the items of one length, laid on the text
+        at ``starts``, that hold a window in which enough words agree."""
+        at = starts[:, None] + np.arange(length)
+        inside = (at >= 0) & (at < len(words))
+        other = self.words[self.offsets[items][:, None] + np.arange(length)]
+        same = inside & (words[np.clip(at, 0, len(words) - 1)] == other)
+        sums = np.zeros((len(items), length + 1), np.int32)
+        np.cumsum(same, axis=1, out=sums[:, 1:])
+        size = min(rule.window, length)
+        good = sums[:, size:] - sums[:, :-size] >= rule.share * size
+        good &= inside[:, :length - size + 1] & inside[:, size - 1:]  # the whole window
+        rows = np.nonzero(good.any(axis=1))[0]
+        first = good[rows].argmax(axis=1)
+        last = good.shape[1] - 1 - good[rows, ::-1].argmax(axis=1) + size
+        return items[rows], starts[rows] + first, last - first, sums[rows, last] - sums[rows, first]
 
     def matches(self, words: np.ndarray, rule: Rule) -> list[tuple]:
         """(item id, first word, words, equal words) of the best window of each item found."""
         best: dict[int, tuple] = {}
-        for item, start in self.diagonals(words):
-            other = self.items[item]
-            size = min(rule.window, len(other))
-            low, high = max(0, -start), min(len(other), len(words) - start)
-            if high - low < size:
-                continue
-            same = words[start + low:start + high] == other[low:high]
-            sums = np.concatenate([[0], np.cumsum(same)])
-            windows = sums[size:] - sums[:-size]
-            equal = int(windows.max())
-            if equal < rule.share * size:
-                continue
-            good = np.nonzero(windows >= rule.share * size)[0]
-            first, last = int(good[0]), int(good[-1]) + size
-            row = (self.ids[item], start + low + first, last - first,
-                   int(sums[last] - sums[first]))
-            if item not in best or (row[3], -row[1]) > (best[item][3], -best[item][1]):
-                best[item] = row
+        for items, starts in self.diagonals(words):
+            lengths = self.sizes[items]
+            for length in np.unique(lengths).tolist():
+                here = np.nonzero(lengths == length)[0]
+                rows = max(1, STEP // length)
+                for at in range(0, len(here), rows):
+                    part = here[at:at + rows]
+                    found = self.aligned(words, items[part], starts[part], length, rule)
+                    for item, place, n, equal in zip(*(a.tolist() for a in found)):
+                        if item not in best or (equal, -place) > (best[item][3], -best[item][1]):
+                            best[item] = (self.ids[item], place, n, equal)
         return list(best.values()) + self.short_matches(words)
 
 

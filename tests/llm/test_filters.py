@@ -4,11 +4,13 @@ import base64
 import random
 import re
 import string
+import time
 
 import numpy as np
 import pytest
 
 from clickweave.llm import compression, decontaminate, license_scan, quality_fm
+from clickweave.llm.common import WordCache
 from tests.llm.helpers import empty, frame, odd, prose
 
 
@@ -155,6 +157,49 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
 
+def every_alignment(items, text, rule):
+    """Items laid on the text at every place, compared word by word."""
+    found = set()
+    words = decontaminate.word_hashes(text.encode(), WordCache(decontaminate.bare_hash)).tolist()
+    for id_, item in items:
+        other = decontaminate.word_hashes(item.encode(), WordCache(decontaminate.bare_hash)).tolist()
+        size = min(rule.window, len(other))
+        for start in range(-len(other), len(words)):
+            low, high = max(0, -start), min(len(other), len(words) - start)
+            same = [words[start + k] == other[k] for k in range(low, high)]
+            if any(sum(same[k:k + size]) >= rule.share * size for k in range(len(same) - size + 1)):
+                found.add(id_)
+    return found
+
+
+@pytest.mark.parametrize("step", [decontaminate.STEP, 5])
+def test_matches_equal_all_alignments(monkeypatch, step):
+    monkeypatch.setattr(decontaminate, "STEP", step)
+    rng, rule = random.Random(4), decontaminate.Rule()
+    items = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(8, 30)))) for i in range(30)]
+    index = decontaminate.Index([i for i, _ in items], [t.encode() for _, t in items])
+    some = 0
+    for _ in range(40):
+        text = rng.choices("abcdef", k=25) + items[rng.randrange(30)][1].split()[rng.randrange(9):]
+        text = " ".join(w if rng.random() < .85 else "x" for w in text + rng.choices("abcdef", k=5))
+        words = decontaminate.word_hashes(text.encode(), WordCache(decontaminate.bare_hash))
+        got = index.matches(words, rule)
+        assert {g[0] for g in got} == every_alignment(items, text, rule) and len(got) == len({g[0] for g in got})
+        some += len(got)
+    assert some > 20
+
+
+def test_a_stem_of_many_items_costs_little():
+    stem = "which of the following statements about the text is true"
+    items = [f"{stem} {prose(k, 9)}" for k in range(20_000)]
+    index = decontaminate.Index(list(range(20_000)), [t.encode() for t in items])
+    text = " ".join(f"{stem} {prose(50_000 + k, 30)}" for k in range(10)) + " " + items[77]
+    words = decontaminate.word_hashes(text.encode(), WordCache(decontaminate.bare_hash))
+    began = time.process_time()
+    got = index.matches(words, decontaminate.Rule())
+    assert 77 in {g[0] for g in got} and time.process_time() - began < 2
+
+
 def test_short_items_are_found_word_for_word(spark):
     items = [(n, " ".join(f"q{n}x{k}" for k in range(n))) for n in range(1, 8)]
     items += [(20, items[4][1].upper() + "?"), (None, items[2][1]), (21, "... !"), (22, "")]
