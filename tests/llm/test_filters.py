@@ -269,3 +269,59 @@ def test_license_scan_finds_every_notice_of_a_text(spark):
     got = license_scan.license_scan(frame(spark, texts)).collect()
     assert {r.doc_id: r.labels for r in got} == want
     assert all(r.score == pytest.approx(1.0) for r in got)
+
+
+def brute_labels(text):
+    """Every template at every start, without an index."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    labels = set(filter(None, brute_base(text)[4].split(",")))
+    best = 0.75 if labels else 0.0
+    for t in license_scan.TEMPLATES + license_scan.NOTICES:
+        own = t.text.split()
+        fixed = [(own.index(p.split()[0]), p.split()) for p in t.phrases]
+        fixed = [next((i, p) for i in range(len(own)) if own[i:i + len(p)] == p) for _, p in fixed]
+        must = {at + i for at, p in fixed for i in range(len(p))}
+        for s in range(len(words)):
+            if all(words[s + at:s + at + len(p)] == p for at, p in fixed):
+                got = sum(5.0 if i in must else 1.0 for i, w in enumerate(own)
+                          if s + i < len(words) and words[s + i] == w)
+                share = got / sum(5.0 if i in must else 1.0 for i in range(len(own)))
+                if share >= t.share:
+                    labels, best = labels | {t.label}, max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+def edited(template, rng):
+    """One word in ten replaced, but for the mandatory phrases."""
+    words, kept = template.words, {a + i for a, p in template.places() for i in range(len(p))}
+    for i in rng.sample(range(len(words)), len(words) // 10):
+        if i not in kept:
+            words[i] = "other"
+    return " ".join(words)
+
+
+def test_whole_notices_edited_and_in_pairs(spark):
+    notices, rng = license_scan.NOTICES, random.Random(12)
+    texts = [(i, f"{prose(i, 7)} {t.text.upper()}") for i, t in enumerate(notices)]
+    texts += [(100 + i, f"{prose(i, 7)} {edited(t, rng)} {prose(i, 3)}") for i, t in enumerate(notices)]
+    texts += [(1000 + 100 * i + k, f"{a.text}. {prose(i, 4)} {edited(b, rng)}")
+              for i, a in enumerate(notices) for k, b in enumerate(notices)]
+    # Parts of notices, and mandatory words in the wrong places.
+    texts += [(200 + i, " ".join(t.words[len(t.words) // 3:])) for i, t in enumerate(notices)]
+    texts += [(300 + i, " ".join(rng.sample(t.words, len(t.words)))) for i, t in enumerate(notices)]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(spark, texts)).collect()}
+    for i, text in texts:
+        labels, best = brute_labels(text)
+        assert got[i].labels == labels and got[i].score == pytest.approx(best), i
+    for i, a in enumerate(notices):
+        for k, b in [(i, a), (100 + i, a), *[(1000 + 100 * i + k, b) for k, b in enumerate(notices)]]:
+            assert {a.label, b.label} <= set(got[k].labels.split(",")), k
+
+
+def test_labels_do_not_depend_on_other_rows(spark):
+    text = (1, "This work is CC BY-NC 4.0, see the Apache License, Version 2.0")
+    other = [(10 + n, f"licensed under the apache foundation, nc license {prose(n, 5)}") for n in range(200)]
+    plain = [(10 + n, prose(n, 9)) for n in range(200)]
+    got = {license_scan.license_scan(frame(spark, [text, *rest])).where("doc_id = 1").first().labels
+           for rest in ([], other, plain)}
+    assert got == {"apache,apache-2.0,cc-by,cc-by-nc-4.0"}
