@@ -404,7 +404,8 @@ def m11(spark, sf):
 
 def of_samples(text: str, part: str) -> str:
     """A piece of SQL on test rows, for the samples of another part."""
-    return re.sub(r"\b(ts|seq|seqv|pooled|target|losses)\b", rf"\1_{part}", text)
+    names = r"ts|seqv?|pooled|target|losses|weights|es|[wzc][123]|b[234]"
+    return re.sub(rf"\b({names})\b", rf"\1_{part}", text)
 
 
 for _part, _which in (("train", "NOT is_test"), ("all", "true")):
@@ -511,8 +512,14 @@ for _i in (1, 2, 3):
       ON u.k = b.k AND u.pos = b.pos""", f"b{_i}", f"c{_i}", "es")
 
 
-def _capsules(spark, sf, **limits):
-    rows, emb, sizes = _inputs(spark, sf)
+# The same on all samples; the given logits of the first iteration have no samples.
+for _name in ("es", *[f"{v}{_i}" for _i in (1, 2, 3) for v in "wzc"], "b2", "b3"):
+    _needs, _text = view_of(_name)
+    view(f"{_name}_all", of_samples(_text, "all"), *[of_samples(n, "all") for n in _needs])
+
+
+def _capsules(spark, sf, part="test", **limits):
+    rows, emb, sizes = _inputs(spark, sf, part)
     return recall_job.capsules_of(rows, emb, _history(sizes), _logits(), _bilinear(), **limits)
 
 
@@ -536,6 +543,12 @@ def m12_joined(spark, sf):
     return interest_cells(_capsules(spark, sf, small_values=0))
 
 
+@query("m12_interest_routing_all", sql(of_samples(ROUTED, "all"), "c3_all"))
+def m12_all(spark, sf):
+    """Routed over all samples, so the logits differ from those of the test rows."""
+    return interest_cells(_capsules(spark, sf, "all"))
+
+
 @query("m13_interest_count", sql(f"""
   SELECT user_id, pos, CAST(greatest(1, least({K_MAX}, length(bin(hist_len + 1)) - 1)) AS INTEGER)
     AS k_user FROM samples""", "samples"))
@@ -615,6 +628,11 @@ def m07_all(spark, sf):
     return _place_sums(_weighted(*_inputs(spark, sf, "all")), "normalised")
 
 
+@query("m08_pool_by_spec_all", sql(of_samples(_BY_SPEC, "all"), "seqv_all", "weights_all", "ts_all"))
+def m08_all(spark, sf):
+    return _by_spec(*_inputs(spark, sf, "all"))
+
+
 view("tiled", f"""
   SELECT c.row_id, c.k, u.d AS i, u.v AS x
   FROM (SELECT DISTINCT row_id, k FROM c3) c JOIN emb_user u ON u.idx = c.row_id
@@ -624,10 +642,22 @@ view("tiled", f"""
 @query("m15_tile_features", sql("""
   SELECT row_id, k AS interest_no, i AS dim, round(x, 6) + 0.0 AS value FROM tiled""", "tiled"))
 def m15(spark, sf):
-    rows, emb, sizes = _inputs(spark, sf)
+    return _tiled(spark, sf)
+
+
+@query("m15_tile_features_all", sql(f"""
+  SELECT row_id, k AS interest_no, d AS dim, round(v, 6) + 0.0 AS value
+  FROM (SELECT DISTINCT row_id, k FROM c3_all) c JOIN emb_user ON idx = row_id // {SAMPLE_ID}
+  UNION ALL SELECT row_id, k, j + {DIM}, round(c, 6) + 0.0 FROM c3_all""", "c3_all", "emb_user"))
+def m15_all(spark, sf):
+    return _tiled(spark, sf, "all")
+
+
+def _tiled(spark, sf, part="test"):
+    rows, emb, sizes = _inputs(spark, sf, part)
     vecs, groups = ft.lookup_groups(rows, emb, [ft.SparseFeature("user_id", sizes["user_id"], DIM)])
     other = ft.concat_features(groups[ft.DEFAULT_GROUP])
-    out = it.tile_user_features(_capsules(spark, sf), vecs.select("row_id", other.alias("other_vec")))
+    out = it.tile_user_features(_capsules(spark, sf, part), vecs.select("row_id", other.alias("other_vec")))
     flat = it.interest_rows(out).withColumn("interest_no", F.col("interest_no").cast("bigint"))
     return _flat(flat, ["row_id", "interest_no"])
 
