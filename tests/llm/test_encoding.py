@@ -2,15 +2,17 @@
 
 import gzip
 import io
+import random
 import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from clickweave.llm import kd_shards, token_files, warc
+from clickweave.llm import kd_shards, range_coder, token_files, warc
 from clickweave.llm.bpe import Codec, bpe_decode, bpe_encode
 from clickweave.llm.range_coder import FRAME, pack_frame, unpack_frame
 from tests.llm.helpers import empty, frame, odd, prose
@@ -74,6 +76,92 @@ def test_coder_notices_damage():
     assert unpack_frame(io.BytesIO(b"").read) is None
 
 
+def test_blocks_of_a_frame_learn_together():
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(50_000)[rng.zipf(1.3, 300_000) % 50_000]
+    seen = np.bincount(ids)
+    seen = seen[seen > 0]
+    entropy = -(seen * np.log2(seen / len(ids))).sum() / 8
+    packed = pack_frame(ids)
+    assert len(packed) < 1.2 * entropy
+    assert (unpack_frame(io.BytesIO(packed).read) == ids).all()
+
+
+def test_a_full_frame_takes_few_steps(monkeypatch):
+    calls, predict = [], range_coder.Models.predict
+    monkeypatch.setattr(range_coder.Models, "predict", lambda self, m: calls.append(m) or predict(self, m))
+    ids = np.arange(token_files.FRAME_IDS) % 6007
+    packed = pack_frame(ids)
+    assert len(calls) <= 512 and sum(calls) == len(ids) == 1 << 21
+    assert (unpack_frame(io.BytesIO(packed).read) == ids).all()
+    assert len(calls) <= 1024 and sum(calls) == 2 * len(ids)
+
+
+def test_coder_notices_a_damaged_table():
+    packed = pack_frame(np.arange(5000) % 700)
+    for at in range(FRAME.size, FRAME.size + 36):
+        for bit in (1, 2, 128):
+            broken = bytearray(packed)
+            broken[at] ^= bit
+            with pytest.raises(ValueError):
+                unpack_frame(io.BytesIO(bytes(broken)).read)
+
+
+ODD_PARTS = ["a", "B", "the", " ", " ", "  ", "\n", "\n", "\n\n", "\t", "\r", "'", "'s", "'ll", "é", "ß", "中", "\u00a0",
+             "\u2003", "\u3000", "\u1680", "\u205f", "\u2028", "\x85", "\x1c", "\x00", "\x7f", "1", "22", "½", ".",
+             ",", "<|endoftext|>", "<|", "|>", "endoftext", "\u0301", "\u200b", "!", "-", "_", "İ", "\U0001f468\u200d"]
+
+
+def encoded(own, texts):
+    ids, sizes = own.encode(pa.array(texts, pa.string()))
+    assert len(sizes) == len(texts) and sizes.sum() == len(ids)
+    return [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+@pytest.mark.parametrize("mark_bytes, kept", [(1 << 20, 1_000_000), (61, 200), (5, 0)])
+def test_pieces_have_the_ids_of_the_library(monkeypatch, mark_bytes, kept):
+    monkeypatch.setattr(token_files, "MARK_BYTES", mark_bytes)
+    monkeypatch.setattr(token_files, "PIECES_KEPT", kept)
+    own, library = token_files.Encoder(open(BYTE_BPE).read()), Tokenizer.from_file(BYTE_BPE)
+    assert own.may_cut
+    draw = random.Random(mark_bytes)
+    odd_texts = ["".join(draw.choices(ODD_PARTS, k=draw.randint(0, 20))) for _ in range(4000)]
+    for at in range(0, len(odd_texts), 400):
+        texts = [None, "", *odd_texts[at:at + 400], *STRANGE, "long" * 100, "\n", " ", prose(at, 60)]
+        want = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert encoded(own, texts) == [w.ids for w in want]
+        assert len(own.known) == len(own.ids) <= kept
+
+
+def test_other_tokenizers_get_whole_texts():
+    own, library = token_files.Encoder(open(WORD_BPE).read()), Tokenizer.from_file(WORD_BPE)
+    assert not own.may_cut
+    texts = ["A b, c.", *STRANGE, "", prose(1, 30)]
+    assert encoded(own, texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_are_encoded_once_whatever_follows_them(monkeypatch):
+    own, given = token_files.Encoder(open(BYTE_BPE).read()), []
+    ids = token_files.Encoder._ids
+    monkeypatch.setattr(token_files.Encoder, "_ids", lambda self, p: given.extend(p) or ids(self, p))
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    for sign in (",", ".", "!", "?", ":", ";\nAnd"):
+        encoded(own, [f"Start {w}{sign} end" for w in words])
+    assert len(given) == len(set(given)) < len(words) + 20
+
+
+def test_slices_hold_every_row(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 100)
+    texts = [None, "", "x" * 250, "a", "b" * 60, "c" * 50, "d" * 100, "", "e", None]
+    batch = pa.RecordBatch.from_pydict({"id": [*range(10)], "text": pa.array(texts, pa.string())})
+    for step in (1, 3, 10):
+        parts = list(token_files.by_bytes(iter([batch.slice(0, 0), *(batch.slice(a, step) for a in range(0, 10, step))])))
+        assert [t for p in parts for t in p["text"].to_pylist()] == texts
+        for p in parts:
+            assert p.num_rows == 1 or sum(len(t or "") for t in p["text"].to_pylist()) <= 100
+    assert list(token_files.by_bytes(iter([]))) == []
+
+
 def test_token_files_hold_every_document_in_order(spark):
     texts = [(i, t) for i, t in odd()] + [(100 + i, s) for i, s in enumerate(STRANGE)] + \
         [(1000 + i, prose(i, 50)) for i in range(300)]
