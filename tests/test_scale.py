@@ -4,7 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickweave.operators import blockscore as bs, features as ft, interests as it, retrieval as rt
+from clickweave.operators import (
+    blockscore as bs, features as ft, gather, interests as it, mapped, retrieval as rt,
+)
+from clickweave.plans import recall_job
 from tests.conftest import rows
 
 DIM = 3
@@ -81,3 +84,64 @@ def test_small_blocks_grow_with_the_table(spark):
         assert hits.count() <= 400 * 3 * rt.MOST_BLOCKS
         assert rows(rt.exact_search(table, asked, 3, cell=cell, **limits)) == rows(
             rt.exact_search(table, asked, 3, cell=cell))
+
+
+# --- tables in files --------------------------------------------------------------------------------
+
+@pytest.fixture
+def filed(monkeypatch):
+    """Every table is too large for a broadcast and lies in several slices."""
+    monkeypatch.setattr(gather, "SENT_VALUES", 0)
+    monkeypatch.setattr(mapped, "SLICE_VALUES", 10 * DIM)
+    monkeypatch.setattr(ft, "fits_broadcast", lambda table: False)
+
+
+def gaps(emb):
+    """Some ids are missing, some without a number."""
+    return emb.where("idx % 7 <> 3").unionByName(emb.where("idx = 1").withColumn(
+        "idx", F.lit(None).cast("bigint")))
+
+
+def test_a_table_beyond_a_broadcast_of_values_is_mapped(spark, samples, emb, filed):
+    some, item = gaps(emb), ft.SparseFeature("item", 40, DIM)
+    table = gather.vector_table(some, "item", DIM)
+    assert isinstance(table, mapped.MappedTable) and len(table.slices) > 1
+    assert gather.vector_table(some, "item", DIM) is table  # written once
+    assert gather.vector_table(some, "item", DIM, limit=10) is None
+    found, joined = (ft.lookup(samples, some, item, small_values=v) for v in (1_000, 0))
+    assert "Exchange" not in plan_of(found) and "Join" not in plan_of(found)
+    assert rows(found) == rows(joined.select(*found.columns))
+    lists = spark.createDataFrame([(1, [4, 0, 9, 50], 4), (2, [], 0), (3, None, None), (4, [39, 3], 1)],
+                                  "row_id bigint, ids array<int>, n int")
+    ids = ft.SequenceFeature(ft.SparseFeature("ids", 60, DIM, embedding_name="item"), 4, "mean", "n")
+    for mode in ("sum", "mean", "max"):
+        near, far = (ft.pool_modes(lists, some, ids, {"v": mode}, small_values=v) for v in (1_000, 0))
+        assert "Exchange" not in plan_of(near)
+        assert rows(near.select("row_id", "v")) == rows(far.select("row_id", "v"))
+    near, far = (it.sampled_softmax(samples, some.select(F.col("idx").alias("item_id"), "vec"), 60, 20,
+                                    true_item="item", small_values=v) for v in (1_000, 0))
+    assert "Exchange" not in plan_of(near)
+    for a, b in zip(rows(near), rows(far), strict=True):
+        assert a[0] == b[0] and (a[1] == b[1] or a[1] == pytest.approx(b[1], abs=1e-12))
+
+
+def test_odd_tables_are_not_mapped(emb, filed):
+    for odd in (emb.unionByName(emb.where("idx = 3")),
+                emb.withColumn("vec", F.when(F.col("idx") != 5, F.col("vec"))),
+                emb.withColumn("vec", F.when(F.col("idx") == 5, F.array(F.lit(1.0))).otherwise(F.col("vec")))):
+        assert gather.vector_table(odd, "item", DIM) is None
+    assert gather.vector_table(emb.where("idx < 0"), "item", DIM) is not None
+
+
+def test_the_tower_with_tables_in_files(spark, sf, monkeypatch):
+    from clickweave.catalog import tower
+    rows_, emb, sizes = tower._inputs(spark, sf, "train")
+    user, history, item, logits, bilinear, layers = tower._model(sizes)
+    job = [rows_, emb, user, history, item, logits, bilinear, layers, tower.K_MAX]
+    sent = {r["row_id"]: r["loss"] for r in recall_job.training_losses(*job).collect()}
+    monkeypatch.setattr(gather, "SENT_VALUES", 0)
+    monkeypatch.setattr(mapped, "SLICE_VALUES", 1_000)
+    monkeypatch.setattr(ft, "fits_broadcast", lambda table: False)
+    found = recall_job.training_losses(*job)
+    assert "Exchange" not in plan_of(found)
+    assert {r["row_id"]: r["loss"] for r in found.collect()} == pytest.approx(sent, abs=1e-9)
